@@ -178,15 +178,13 @@ class HeaderPlan:
 
 def plan_rows(spark: SparkSession, plan: HeaderPlan) -> DataFrame:
     """A plan as catalogue rows (table_id, position, raw_header, canonical)."""
-    names = ["table_id", "position", "raw_header", "canonical"]
-    rows = [(0, i, raw, c or "") for i, (raw, c) in enumerate(zip(plan.raw, plan.canonical))]
-    return literal_rows(spark, rows, names).withColumn("canonical", F.nullif("canonical", F.lit("")))
+    rows = [(0, i, raw, c) for i, (raw, c) in enumerate(zip(plan.raw, plan.canonical))]
+    return literal_rows(spark, rows, "table_id int, position int, raw_header string, canonical string")
 
 
 def header_rows(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
     """Catalogue rows (position, raw_header) of one table."""
-    rows = literal_rows(spark, list(enumerate(columns)), ["position", "raw_header"]) if columns else None
-    return rows if rows is not None else spark.range(0).selectExpr("0 position", "'' raw_header")
+    return literal_rows(spark, list(enumerate(columns)), "position int, raw_header string")
 
 
 def plan_headers(spark: SparkSession, columns: Sequence[str], vocab: Vocabulary | None = None) -> HeaderPlan:

@@ -18,7 +18,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     elif fmt == "csv":
         (
             df.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "")
-            .option("nullValue", "").csv(path)
+            .option("nullValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
         )
     else:
         raise ValueError(f"cannot write {fmt!r}: use parquet or csv")

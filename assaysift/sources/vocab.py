@@ -10,7 +10,7 @@ import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.headers import alias_text
@@ -121,51 +121,31 @@ class RuleSet:
     recommended: tuple[str, ...] = RECOMMENDED_FIELDS
 
 
-def literal_rows(spark: SparkSession, rows: Iterable[tuple], names: list[str]) -> DataFrame:
-    """A small table built from literals, without a Python worker or a job."""
-    structs: list[Column] = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows]
-    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
+def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """A small table from one JSON literal, without a Python worker or a job of its own."""
+    names = [part.split()[0] for part in schema.split(", ")]
+    text = json.dumps([dict(zip(names, row)) for row in rows], ensure_ascii=False)
+    return spark.range(1, numPartitions=1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{_ddl(schema)}>>")))
+
+
+def _ddl(schema: str) -> str:
+    return ", ".join(":".join(part.split()) for part in schema.split(", "))
 
 
 def alias_table(spark: SparkSession, vocab: Vocabulary | None = None) -> DataFrame:
     """``alias_dim(alias, ord)``: normalised spelling and position of the first field that has it."""
-    vocab = vocab or Vocabulary()
-    spellings = vocab.spellings()
-    if not spellings:
-        return spark.range(0).selectExpr("'' alias", "0 ord")
-    raw = literal_rows(spark, spellings, ["spelling", "ord"])
+    raw = literal_rows(spark, (vocab or Vocabulary()).spellings(), "spelling string, ord int")
     return (
-        raw.select(alias_text(F.col("spelling")).alias("alias"), F.col("ord").cast("int").alias("ord"))
-        .where("alias <> ''")
-        .groupBy("alias")
-        .agg(F.min("ord").alias("ord"))
+        raw.select(alias_text(F.col("spelling")).alias("alias"), "ord").where("alias <> ''").groupBy("alias").agg(F.min("ord").alias("ord"))
     )
 
 
 def rule_table(spark: SparkSession, rules: RuleSet | None = None) -> DataFrame:
     """``rule_dim(field, ord, hard_min, hard_max, soft_min, soft_max, unit)``."""
-    rules = rules or RuleSet()
-
-    def number(v: float | None) -> Column:
-        return F.lit(None if v is None else float(v)).cast("double")
-
-    structs = [
-        F.struct(
-            F.lit(name).alias("field"),
-            F.lit(i).cast("int").alias("ord"),
-            number(b.hard_min).alias("hard_min"),
-            number(b.hard_max).alias("hard_max"),
-            number(b.soft_min).alias("soft_min"),
-            number(b.soft_max).alias("soft_max"),
-            F.lit(b.unit).alias("unit"),
-        )
-        for i, (name, b) in enumerate(rules.bounds.items())
-    ]
-    if not structs:
-        return spark.range(0).selectExpr(
-            "'' field", "0 ord", "0d hard_min", "0d hard_max", "0d soft_min", "0d soft_max", "'' unit"
-        )
-    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
+    bounds = (rules or RuleSet()).bounds
+    rows = [(name, i, b.hard_min, b.hard_max, b.soft_min, b.soft_max, b.unit) for i, (name, b) in enumerate(bounds.items())]
+    schema = "field string, ord int, hard_min double, hard_max double, soft_min double, soft_max double, unit string"
+    return literal_rows(spark, rows, schema)
 
 
 def vocabulary_from(data: Mapping | None) -> Vocabulary:
