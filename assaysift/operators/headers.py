@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -12,31 +13,52 @@ from pyspark.sql import functions as F
 from ..functions.headers import candidate_spellings
 from ..functions.text import column
 from ..schema import P1, P2, ROW_KEY, VERSION
+from ..sources.scratch import materialise
 from ..sources.vocab import EXPECTED_COLUMNS, Vocabulary, alias_table, literal_rows
 
 DUPLICATE_SUFFIX = "__duplicate_"
 
 
-def map_headers(catalogue: DataFrame, vocab: Vocabulary | None = None, header: str = "raw_header") -> DataFrame:
-    """Add ``canonical`` (null when unknown) to any frame that has a header column.
+# The dictionary of distinct headers is broadcast up to this many bytes of header text.
+BROADCAST_BYTES = 32 << 20
+
+
+def match_headers(df: DataFrame, vocab: Vocabulary | None = None, header: str = "raw_header") -> DataFrame:
+    """Add ``canonical`` (null when unknown) by spelling out and matching the header of every row.
 
     Row-local: the alias table, bounded by the vocabulary file, is broadcast once and
     probed with each of the five spellings. The first field in vocabulary order wins.
     """
     vocab = vocab or Vocabulary()
-    spark = catalogue.sparkSession
-    aliases = F.broadcast(alias_table(spark, vocab))
-    spelled = catalogue.withColumns({f"_s{i}": c for i, c in enumerate(candidate_spellings(column(header)))})
-    n = 5
-    for i in range(n):
+    aliases = F.broadcast(alias_table(df.sparkSession, vocab))
+    spellings = candidate_spellings(column(header))
+    spelled = df.withColumns({f"_s{i}": c for i, c in enumerate(spellings)})
+    for i in range(len(spellings)):
         probe = aliases.select(F.col("alias").alias(f"_s{i}"), F.col("ord").alias(f"_o{i}"))
         spelled = spelled.join(probe, f"_s{i}", "left")
-    first = F.least(*[F.col(f"_o{i}") for i in range(n)])
-    names = F.array(*[F.lit(c) for c in vocab.canonical]) if vocab.canonical else F.array(F.lit(None).cast("string"))
-    return spelled.select(
-        *[column(c) for c in catalogue.columns],
-        F.get(names, first).alias("canonical"),
-    )
+    first = F.least(*[F.col(f"_o{i}") for i in range(len(spellings))])
+    names = F.from_json(F.lit(json.dumps(vocab.canonical)), "array<string>")
+    return spelled.select(*[column(c) for c in df.columns], F.get(names, first).alias("canonical"))
+
+
+def map_headers(
+    catalogue: DataFrame,
+    vocab: Vocabulary | None = None,
+    header: str = "raw_header",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Add ``canonical`` to any frame with a header column; many rows may share a header.
+
+    Distinct headers are matched once, written to the shared folder and measured. A small
+    dictionary is broadcast back; a large one is not used, and every row is matched where
+    it is. Neither way shuffles the rows, so a header in every table does no harm.
+    """
+    distinct = catalogue.select(column(header).alias("_header")).where("_header IS NOT NULL").distinct()
+    dictionary = materialise(match_headers(distinct, vocab, "_header"), "headers")
+    size = dictionary.agg(F.sum(F.octet_length("_header") + F.lit(64))).first()[0] or 0
+    if size > broadcast_bytes:
+        return match_headers(catalogue, vocab, header)
+    return catalogue.join(F.broadcast(dictionary), column(header) == F.col("_header"), "left").drop("_header")
 
 
 def target_names(header_map: DataFrame, table_key: Sequence[str] = ("table_id",)) -> DataFrame:
@@ -189,7 +211,7 @@ def header_rows(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
 
 def plan_headers(spark: SparkSession, columns: Sequence[str], vocab: Vocabulary | None = None) -> HeaderPlan:
     """Map the header row of one table. Runs one tiny job over its column names."""
-    mapped = map_headers(header_rows(spark, columns), vocab).collect()
+    mapped = match_headers(header_rows(spark, columns), vocab).collect()
     canonical: list[str | None] = [None] * len(columns)
     for row in mapped:
         canonical[row["position"]] = row["canonical"]
@@ -239,9 +261,9 @@ def cells_to_wide(
 ) -> DataFrame:
     """Long cells (row key, position, raw_header, raw_value) to one wide row of canonical fields.
 
-    Headers are mapped cell by cell through the broadcast alias table, so a table that
-    holds a large share of all cells is not gathered anywhere; the only shuffle is on the
-    row key, whose groups are one table row each. Of several headers that map to one
+    Headers are mapped without a shuffle, so a table that holds a large share of all cells
+    is not gathered anywhere; the only shuffle is on the row key, whose groups are one
+    table row each. Of several headers that map to one
     field the leftmost fills it; the others and unknown headers are kept in ``other``.
     """
     vocab = vocab or Vocabulary()

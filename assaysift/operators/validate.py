@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -56,8 +57,8 @@ def missing_mask(df: DataFrame, fields: Sequence[str], keys: Sequence[str] = ROW
 
 
 def _texts(values: Sequence[str]) -> Column:
-    """Literal lookup array; never empty, so that it always has a type."""
-    return F.array(*[F.lit(v) for v in values or ("",)])
+    """Literal lookup array, folded to a constant when the plan is optimised."""
+    return F.from_json(F.lit(json.dumps(list(values), ensure_ascii=False)), "array<string>")
 
 
 def physics_flags(df: DataFrame, rules: RuleSet | None = None, keys: Sequence[str] = ROW_KEY) -> DataFrame:

@@ -13,7 +13,7 @@ from assaysift.functions.units import CONVERSIONS, NUMERIC_FIELDS, normalize_val
 from assaysift.operators import audit, duplicates, headers, units, validate
 from assaysift.plans import report
 from assaysift.sources import sinks
-from assaysift.sources.scratch import scratch_folder
+from assaysift.sources.scratch import materialise, scratch_folder
 from assaysift.sources.tables import read_table
 
 from .inputs import COPY_KEYS, KEYS, RAW, header_catalogue, raw_cells, raw_extract, raw_extract_copies, table
@@ -46,10 +46,16 @@ def cleaned_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table_ = cleaned(spark, sf_dir)
+    """All flags; the cleaned table is stored first because three branches read it, as in the pipeline."""
+    table_ = materialise(cleaned(spark, sf_dir), "cleaned")
     return audit.all_flags(validate.physics_flags(table_, keys=KEYS), duplicates.duplicate_flags(table_, KEYS))
 
 
+def stored_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For queries that read the flags more than once."""
+    return materialise(flags(spark, sf_dir), "flags")
+
+
 # Own wording is left out of the comparison; codes, levels, keys and values are in.
 FLAG_OUT = ("paper_id", "sample_id", "field", "risk_level", "rule_code", "value_num", "flag_seq")
 
@@ -124,7 +130,7 @@ def _bounds(prefix: str) -> Query:
 
 def _detector(number: int) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        source = cleaned_copies(spark, sf_dir) if number == duplicates.NEAR else cleaned(spark, sf_dir)
+        source = materialise((cleaned_copies if number == duplicates.NEAR else cleaned)(spark, sf_dir), "cleaned")
         keys = COPY_KEYS if number == duplicates.NEAR else KEYS
         keyed = duplicates.duplicate_keys(source, keys).where(F.col("detector") == number)
         hits = duplicates.rows_with_repeated_key(keyed, keys)
@@ -138,7 +144,11 @@ def _norm_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _duplicate_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flag_view(duplicates.duplicate_flags(cleaned_copies(spark, sf_dir), COPY_KEYS), COPY_KEYS, "value")
+    return _flag_view(duplicates.duplicate_flags(materialise(cleaned_copies(spark, sf_dir), "cleaned"), COPY_KEYS), COPY_KEYS, "value")
+
+
+def _review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.ranked_review_queue(materialise(_flag_view(flags(spark, sf_dir)), "flags"), KEYS)
 
 
 def _header_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +215,7 @@ def _run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = normalised(spark, sf_dir)
     rows = n.agg(F.count("*").alias("n_rows"))
     plan = next(p for names, p in _PLANS.items() if names == tuple(RAW))
-    return report.run_totals(flags(spark, sf_dir), units.correction_log(n, KEYS), rows, plan)
+    return report.run_totals(stored_flags(spark, sf_dir), units.correction_log(n, KEYS), rows, plan)
 
 
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +227,7 @@ def _report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = table(spark, sf_dir, "lineitem").agg(
         F.count("*").alias("n_rows"), F.lit(len(RAW)).alias("n_raw_columns"), F.lit(1).alias("n_unknown_columns")
     )
-    return report.report_rows(flags(spark, sf_dir), _log(spark, sf_dir), totals, KEYS)
+    return report.report_rows(stored_flags(spark, sf_dir), materialise(_log(spark, sf_dir), "log"), totals, KEYS)
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,7 +289,7 @@ def queries() -> dict[str, Query]:
         "duplicate_flags": _duplicate_flags,
         # audit
         "all_flags": lambda spark, sf: _flag_view(flags(spark, sf)),
-        "review_queue": lambda spark, sf: _flag_view(audit.ranked_review_queue(flags(spark, sf), KEYS), KEYS, "rank"),
+        "review_queue": _review_queue,
         "flag_counts": lambda spark, sf: audit.flag_counts(flags(spark, sf)),
         "decision": lambda spark, sf: audit.decision(flags(spark, sf)),
         "paper_audit": lambda spark, sf: audit.ordered_paper_audit(flags(spark, sf)),
