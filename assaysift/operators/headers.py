@@ -243,10 +243,18 @@ def deduplicated(names: Sequence[str], fold=lambda s: s) -> list[str]:
 def harmonise(
     df: DataFrame, vocab: Vocabulary | None = None, keys: Sequence[str] = ROW_KEY, plan: HeaderPlan | None = None
 ) -> DataFrame:
-    """Rename the columns of one table to canonical names in a single select."""
-    columns = [c for c in df.columns if c not in keys]
-    plan = plan or plan_headers(df.sparkSession, columns, vocab)
-    return df.select(*[column(k) for k in keys], *[column(raw).alias(new) for raw, new in zip(plan.raw, plan.targets)])
+    """Rename the columns of one table to canonical names in a single select.
+
+    Columns are taken by position, so raw headers may repeat or differ by case only.
+    """
+    plan = plan or plan_headers(df.sparkSession, [c for c in df.columns if c not in keys], vocab)
+    at = {k: i for i, k in enumerate(df.columns) if k in keys}
+    rest = [i for i, c in enumerate(df.columns) if c not in keys]
+    by_place = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+    return by_place.select(
+        *[F.col(f"_c{at[k]}").alias(k) for k in keys],
+        *[F.col(f"_c{i}").alias(new) for i, new in zip(rest, plan.targets)],
+    )
 
 
 def union_tables(tables: Sequence[DataFrame]) -> DataFrame:

@@ -218,3 +218,19 @@ def test_stream_gives_the_batch_result(spark, tmp_path):
         q.processAllAvailable()
         q.stop()
         assert spark.table(name).count() == want
+
+
+def test_odd_headers_survive(spark, tmp_path):
+    odd = ['we.ird', 'tick`s', 'par(en), {x}; y=z', "X", "x", "row_index"]
+    head = ",".join(f'"{h}"' for h in ["BET", *odd])
+    out = str(tmp_path / "o")
+    assert clean_table(spark, _file(tmp_path, f"{head}\n25 m2/g,1,2,3,4,5,6\n"), out, fmt="csv")["n_rows"] == 1
+    row = spark.read.option("header", True).csv(f"{out}/cleaned_database").first()
+    assert list(row)[1:] == ["25.0", "1", "2", "3", "4", "5", "6"]
+
+
+def test_table_without_rows(spark, tmp_path):
+    out = str(tmp_path / "o")
+    result = clean_table(spark, _file(tmp_path, "paper,sample id,BET,d002,ICE\n"), out)
+    assert (result["n_rows"], result["n_flags"], result["decision"]) == (0, 0, "PASS_WITH_NOTES")
+    assert spark.read.option("header", True).csv(f"{out}/correction_log").columns[0] == "row_index"
