@@ -94,10 +94,12 @@ def norm_key(c: Column, dtype: T.DataType | None = None) -> Column:
     """Policy N3: comparison form of a cell, empty when there is nothing to compare."""
     if is_numeric(dtype):
         return F.when(is_missing(c, dtype), F.lit("")).otherwise(fmt6g(c.cast("double")))
-    lowered = F.lower(c.cast("string"))
+    text = c.cast("string")
+    lowered = F.lower(text)
+    # Identifiers mostly hold no white space at all, which is the quickest thing to see.
     return (
         F.when(is_missing(c, dtype), F.lit(""))
-        .when(c.cast("string").rlike(_UNTIDY), squeeze(strip(lowered)))
+        .when(text.rlike(SPACE) & text.rlike(_UNTIDY), squeeze(strip(lowered)))
         .otherwise(lowered)
     )
 

@@ -3,7 +3,7 @@
 import pytest
 from check_oracles import connect, same
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
 # One row key occurs twice at this scale, so results that order or group by it are ambiguous;
@@ -24,3 +24,8 @@ def con():
 @pytest.mark.parametrize("name", [n for n in queries() if n not in AMBIGUOUS])
 def test_query(spark, con, name):
     assert same(queries()[name](spark, SF).toPandas(), con.execute(SQL[name]).df()) == ""
+
+
+def test_entry(spark):
+    out = entry(spark)
+    assert out.columns == ["paper_id", "P0", "P1", "P2", "total_flags"] and out.count() > 0
