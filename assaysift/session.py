@@ -17,11 +17,16 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small input one partition per core; a no-op when there are enough splits already.
+# An input of this many splits or more is read as it is, however many cores there are.
+_SMALL_INPUT = 64
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a small scan one partition per core; a no-op when there are enough splits already.
 
     Text work per row is heavy next to reading it, so a file with a single row group would
-    keep all but one core idle.
+    keep all but one core idle. For plain scans only: asking a frame with shuffles for its
+    partitions would run them.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < min(cores, _SMALL_INPUT) else scan

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import column
+from ..session import spread
 from .scratch import materialise
 
 # Cell texts that a text table uses for "no value" (exact case, no trimming).
@@ -90,7 +91,7 @@ def read_text_table(spark: SparkSession, path: str, sep: str = ",", multi_line:
         F.monotonically_increasing_id().alias("_local"),
     )
     # Written once: the task-local number must not be evaluated twice.
-    stored = materialise(null_tokens(local, places), "text")
+    stored = spread(materialise(null_tokens(local, places), "text"))
     names = [h if h != "row_index" else "row_index__duplicate_1" for h in headers]
     return _with_row_index(stored).select("row_index", *[F.col(p).alias(n) for p, n in zip(places, names)])
 
@@ -121,7 +122,7 @@ def read_parquet_table(spark: SparkSession, path: str) -> DataFrame:
     if offsets.count() <= _BROADCAST_BLOCKS:
         offsets = F.broadcast(offsets)
     index = F.col("_offset") + F.col("_local")
-    return placed.join(offsets, "_file").select(
+    return spread(placed).join(offsets, "_file").select(
         index.alias("row_index"),
         *[column(c).alias(c if c != "row_index" else "row_index__duplicate_1") for c in columns],
     )
