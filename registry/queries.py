@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assaysift.functions import headers as header_functions
 from assaysift.functions.text import column, fmt6g
-from assaysift.functions.units import CONVERSIONS, NUMERIC_FIELDS, normalize_value, parse_number, unit_text
+from assaysift.functions.units import NUMERIC_FIELDS, normalize_value, parse_number, unit_text
 from assaysift.operators import audit, duplicates, headers, units, validate
 from assaysift.plans import report
 from assaysift.sources import sinks
