@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import toxicity
+from . import language, packing, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": toxicity.op1_toxicity,
+        "op3_best_fit_packing": packing.op3_best_fit_packing,
+        "op4_language_id": language.op4_language_id,
+        "op7_token_counts": tokens.op7_token_counts,
     }
 
 
