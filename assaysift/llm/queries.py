@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, packing, tokens, toxicity
+from . import decontaminate, language, licenses, packing, tokens, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,9 +16,15 @@ def queries() -> dict[str, Query]:
         "op1_toxicity": toxicity.op1_toxicity,
         "op3_best_fit_packing": packing.op3_best_fit_packing,
         "op4_language_id": language.op4_language_id,
+        "op5_license_scan": licenses.op5_license_scan,
         "op7_token_counts": tokens.op7_token_counts,
+        "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
+        "op9_warc": warc.op9_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_benchmark_decontamination": decontaminate.ORACLE_SQL,
+        "op9_warc": warc.ORACLE_SQL,
+    }
