@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, licenses, packing, tokens, toxicity, warc
+from . import decontaminate, language, licenses, ngram_join, packing, tokens, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op3_best_fit_packing": packing.op3_best_fit_packing,
         "op4_language_id": language.op4_language_id,
         "op5_license_scan": licenses.op5_license_scan,
+        "op6_ngram_jaccard_join": ngram_join.op6_ngram_jaccard_join,
         "op7_token_counts": tokens.op7_token_counts,
         "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
         "op9_warc": warc.op9_warc,
@@ -25,6 +26,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_ngram_jaccard_join": ngram_join.ORACLE_SQL,
         "op8_benchmark_decontamination": decontaminate.ORACLE_SQL,
         "op9_warc": warc.ORACLE_SQL,
     }
