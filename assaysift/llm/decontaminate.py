@@ -169,7 +169,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 _SHINGLES = """
     SELECT {key}, unnest(CASE WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
-        ELSE list_transform(range(1, len(w) - 3), i -> list_aggregate(w[i:i + 4], 'string_agg', ' ')) END) AS g
+        ELSE list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) END) AS g
     FROM (SELECT {key}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS w FROM {table}) WHERE len(w) > 0
 """
 ORACLE_SQL = f"""

@@ -12,7 +12,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,12 +117,13 @@ def pack(cut: DataFrame, *, capacity: int = CAPACITY, group_rows: int = GROUP_RO
     groups = parts_for(numbered.count(), group_rows)
     grouped = numbered.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        bins, offsets = best_two_fit(group["length"].to_numpy(np.int64), capacity)
-        return group.drop(columns=["_row", "_group"]).assign(sequence_id=(int(group["_group"].iloc[0]) << 32) + bins, offset=offsets)
+    def run(group: pa.Table) -> pa.Table:
+        bins, offsets = best_two_fit(group["length"].to_numpy().astype(np.int64), capacity)
+        sequences = (group["_group"][0].as_py() << 32) + bins
+        return group.drop_columns(["_row", "_group"]).append_column("sequence_id", pa.array(sequences)).append_column("offset", pa.array(offsets))
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
-    return grouped.groupBy("_group").applyInPandas(run, f"{kinds}, sequence_id bigint, offset bigint")
+    return grouped.groupBy("_group").applyInArrow(run, f"{kinds}, sequence_id bigint, offset bigint")
 
 
 def pack_documents(

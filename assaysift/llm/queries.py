@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, licenses, ngram_join, packing, tokens, toxicity, warc
+import corpus_pipeline
+
+from . import decontaminate, forest, language, licenses, lm_score, ngram_join, packing, tokens, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": toxicity.op1_toxicity,
+        "op2_lm_scoring": lm_score.op2_lm_scoring,
         "op3_best_fit_packing": packing.op3_best_fit_packing,
         "op4_language_id": language.op4_language_id,
         "op5_license_scan": licenses.op5_license_scan,
@@ -21,6 +24,8 @@ def queries() -> dict[str, Query]:
         "op7_token_counts": tokens.op7_token_counts,
         "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
         "op9_warc": warc.op9_warc,
+        "op10_embedding_near_dedup": forest.op10_embedding_near_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -29,4 +34,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_ngram_jaccard_join": ngram_join.ORACLE_SQL,
         "op8_benchmark_decontamination": decontaminate.ORACLE_SQL,
         "op9_warc": warc.ORACLE_SQL,
+        "op10_embedding_near_dedup": forest.ORACLE_SQL,
     }
