@@ -1,0 +1,70 @@
+import public_tokenizers
+from test_ngram_join import brute_components
+from test_text_models import brute_contained
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from assaysift.llm import language, toxicity
+
+SF = "/root/testdata/sf0.001"
+
+
+def rows_of(df):
+    return sorted(df.collect(), key=str)
+
+
+def five_grams(text):
+    words = "".join(c.lower() if c.isascii() else c for c in text or "").encode().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_stages_equal_a_plain_version(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels, benchmark = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("labels", "benchmark"))
+    stages = dict(corpus_pipeline.STAGES)
+
+    model = toxicity.fit(docs, labels)
+    civil = stages["toxicity"](spark, docs, SF)
+    assert rows_of(civil) == [r for r in rows_of(docs) if model.score(*model.ratio(r.text)) < 0.5]
+
+    known = stages["language"](spark, civil, SF)
+    spoken = {r.doc_id for r in language.identify(civil, language.fit(civil)).where("lang_pred <> 'und'").collect()}
+    assert rows_of(known) == [r for r in rows_of(civil) if r.doc_id in spoken]
+
+    kept = sorted(known.collect(), key=lambda r: r.doc_id)
+    sets = [five_grams(r.text) for r in kept]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    roots = brute_components(len(sets), links)
+    single = stages["near_duplicates"](spark, known, SF)
+    assert single.columns == docs.columns
+    assert {r.doc_id for r in single.collect()} == {kept[i].doc_id for i in set(roots)}
+
+    items = [r.text for r in benchmark.collect()]
+    clean = stages["decontamination"](spark, single, SF)
+    assert rows_of(clean) == [r for r in rows_of(single) if not any(brute_contained(r.text, item) for item in items)]
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tokens = sum(len(library.encode(r.text, add_special_tokens=False).ids) + 1 for r in clean.collect())
+    packed = corpus_pipeline.run(spark, SF).collect()
+    assert sum(r.length for r in packed) == tokens and {r.doc_id for r in packed} == {r.doc_id for r in clean.collect()}
+
+
+def test_near_duplicate_stage_with_repeated_and_null_keys(spark):
+    base = " ".join(f"w{i}" for i in range(200))
+    near = base.replace("w100", "other")
+    rows = [
+        (None, base, "en", "s", 1), (1, base, "en", "s", 1), (1, base, "en", "s", 1), (2, near, "en", "s", 1), (2, "quite another text of few words", "en", "s", 1),
+        (None, None, None, None, None), (None, None, None, None, None), (5, "", "en", "s", 0), (6, "", "en", "s", 0),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.keep_one_of_each_group(spark, df, SF)
+    assert got.columns == df.columns
+    texts = [r.text for r in got.collect()]
+    assert sum(t in (base, near) for t in texts) == 1 and texts.count("quite another text of few words") == 1
+    assert texts.count("") == 2 and texts.count(None) == 1
+
+
+def test_stages_take_empty_tables(spark):
+    empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0
