@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import column
-from ..session import spread
 from .scratch import materialise
 
 # Cell texts that a text table uses for "no value" (exact case, no trimming).
@@ -19,8 +20,9 @@ NULL_TOKENS = (
 )
 
 _TEXT_FORMATS = ("csv", "txt")
-# Offsets of file blocks are broadcast up to this many rows; beyond it they are joined by shuffle.
-_BROADCAST_BLOCKS = 200_000
+# Offsets of file blocks are broadcast up to this many rows; beyond it they are joined by shuffle,
+# split by block, so that no file is gathered in one task.
+BROADCAST_BLOCKS = 200_000
 
 
 def _format_of(path: str) -> str:
@@ -71,58 +73,118 @@ def null_tokens(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def read_text_table(spark: SparkSession, path: str, sep: str = ",", multi_line: bool = True) -> DataFrame:
+SURPLUS = "surplus_cells"
+
+
+def read_text_table(
+    spark: SparkSession, path: str, sep: str = ",", multi_line: bool = True, surplus: str = "error", broadcast_blocks: int = BROADCAST_BLOCKS
+) -> DataFrame:
+    """Comma-separated files with a header row each; the columns of several files meet by name.
+
+    Files are grouped by their header row, which costs one more scan of the first lines where
+    there is more than one file, and each distinct header row is one read; columns that a
+    file lacks are null. A row with more cells than its header stops the read, or with
+    ``surplus="keep"`` leaves its whole record in ``surplus_cells``; missing cells are null.
+    """
+    if surplus not in ("error", "keep"):
+        raise ValueError("surplus must be 'error' or 'keep'")
     reader = (
         spark.read.option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
         .option("encoding", "UTF-8")
     )
-    first = reader.option("header", False).csv(path).limit(1).collect()
-    if not first:
+    groups = _header_groups(spark, reader, path, sep)
+    if not groups:
         raise ValueError(f"{path!r} has no header row")
-    headers = unique_headers([(h or "").lstrip("﻿") for h in first[0]])
+    names = list(dict.fromkeys(name for headers, _ in groups for name in headers))
     # The reader sees positional names, so headers that differ by case only do no harm.
-    places = [f"c{i}" for i in range(len(headers))]
-    schema = T.StructType([T.StructField(p, T.StringType()) for p in places])
-    raw = reader.option("header", True).option("enforceSchema", True).schema(schema).csv(path)
-    local = raw.select(
+    place = {name: f"c{i}" for i, name in enumerate(names)}
+    parts = [_text_rows(reader, files, [place[h] for h in headers], sep, surplus) for headers, files in groups]
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    # Written once: the task-local number must not be evaluated twice.
+    stored = materialise(null_tokens(rows, list(place.values())), "text")
+    shown = [F.col(p).alias(n if n != "row_index" else "row_index__duplicate_1") for n, p in place.items()]
+    kept = [F.col("_surplus").alias(SURPLUS)] if surplus == "keep" else []
+    return _with_row_index(stored, broadcast_blocks).select("row_index", *shown, *kept)
+
+
+def _header_groups(spark: SparkSession, reader: DataFrameReader, path: str, sep: str) -> list[tuple[list[str], list[str]]]:
+    """(unique headers, files) of each distinct header row, in the order of their first files."""
+    files = sorted(spark.read.text(path).inputFiles())
+    if len(files) == 1:
+        first = reader.option("header", False).csv(path).limit(1).collect()
+        return [(_headers_of(first[0]), [path])] if first else []
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n")
+    )
+    lines = lines.where((F.col("start") == 0) & (F.trim("value") != ""))
+    firsts = lines.groupBy("file").agg(F.min_by("value", "n").alias("line")).collect()  # a row per file, like Spark's own file list
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(firsts, key=lambda r: r["file"]):
+        line = row["line"]
+        if line.count('"') % 2:  # a quoted header goes on in the next line
+            cells = reader.option("header", False).csv(row["file"]).limit(1).collect()[0]
+        else:
+            cells = next(csv.reader([line], delimiter=sep))
+        groups.setdefault(tuple(_headers_of(cells)), []).append(row["file"])
+    return [(list(headers), of) for headers, of in groups.items()]
+
+
+def _headers_of(cells: Sequence[str | None]) -> list[str]:
+    return unique_headers([(c or "").lstrip("\ufeff") for c in cells])
+
+
+def _text_rows(reader: DataFrameReader, files: list[str], places: list[str], sep: str, surplus: str) -> DataFrame:
+    """Rows of files with one header row, as text; ``_surplus`` is the record of a row with too many cells."""
+    text = [T.StructField(p, T.StringType()) for p in (*places, "_record")]
+    options = {"header": True, "enforceSchema": True, "columnNameOfCorruptRecord": "_record"}
+    raw = reader.options(**options).schema(T.StructType(text)).csv(files)
+    # Of the records that do not fit, those with too many cells: separators outside quotes tell.
+    bare = F.regexp_replace("_record", r'"(?:[^"]|"")*"', "")
+    separators = (F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep)
+    over = F.coalesce(separators >= len(places), F.lit(False))
+    record = F.when(over, F.col("_record"))
+    if surplus == "error":
+        record = F.when(over, F.raise_error(F.concat(F.lit("more cells than headers: "), F.col("_record"))).cast("string"))
+    return raw.select(
         *places,
+        record.alias("_surplus"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_local"),
     )
-    # Written once: the task-local number must not be evaluated twice.
-    stored = spread(materialise(null_tokens(local, places), "text"))
-    names = [h if h != "row_index" else "row_index__duplicate_1" for h in headers]
-    return _with_row_index(stored).select("row_index", *[F.col(p).alias(n) for p, n in zip(places, names)])
 
 
-def _with_row_index(stored: DataFrame) -> DataFrame:
+def _with_row_index(stored: DataFrame, broadcast_blocks: int) -> DataFrame:
     """``row_index`` in file order from task-local numbers: one small row per file block."""
     blocks = stored.groupBy("_file", "_start").agg(F.min("_local").alias("_min"), F.count("*").alias("_n"))
     running = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("_file", "_start", "_min", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset"))
     offsets = materialise(offsets, "blocks")
-    if offsets.count() <= _BROADCAST_BLOCKS:
+    if offsets.count() <= broadcast_blocks:
         offsets = F.broadcast(offsets)
     joined = stored.join(offsets, ["_file", "_start"])
     return joined.withColumn("row_index", F.col("_local") - F.col("_min") + F.col("_offset"))
 
 
-def read_parquet_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet with the position of each row; files follow each other by name.
+def read_parquet_table(spark: SparkSession, path: str, broadcast_blocks: int = BROADCAST_BLOCKS) -> DataFrame:
+    """Parquet with the position of each row; files follow each other by name. Columns keep their types.
 
     Row counts per file come from the file footers, so nothing is scanned twice.
     """
     raw = spark.read.parquet(path)
     columns = raw.columns
-    placed = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_local"))
+    at = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")]
+    placed = raw.select("*", *at, F.col("_metadata.row_index").alias("_local"))
     sizes = raw.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(F.count("*").alias("_n"))
     running = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialise(sizes.select("_file", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset")), "files")
-    if offsets.count() <= _BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
+    if offsets.count() <= broadcast_blocks:
+        joined = placed.join(F.broadcast(offsets), "_file")
+    else:  # a row of offsets for each block of a file, so that the rows of a file spread over its blocks
+        blocks = raw.select(*at).distinct().join(offsets, "_file")
+        joined = placed.join(blocks, ["_file", "_start"])
     index = F.col("_offset") + F.col("_local")
-    return spread(placed).join(offsets, "_file").select(
+    return joined.select(
         index.alias("row_index"),
         *[column(c).alias(c if c != "row_index" else "row_index__duplicate_1") for c in columns],
     )
