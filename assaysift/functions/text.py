@@ -104,6 +104,27 @@ def norm_key(c: Column, dtype: T.DataType | None = None) -> Column:
     )
 
 
+def safe_str(c: Column) -> Column:
+    """Trimmed text, empty for a missing value (policy N2)."""
+    return F.when(is_missing(c), F.lit("")).otherwise(strip(c.cast("string")))
+
+
+def number_text(x: Column) -> Column:
+    """A double as its shortest text, without exponent from 1e-4 to below 1e16; null stays null."""
+    text, size = x.cast("string"), F.abs(x)
+    plain = F.rtrim(text.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    exponent = F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"E(?=\d)", "e+")
+    exponent = F.regexp_replace(F.regexp_replace(exponent, "E-", "e-"), r"e([+-])(\d)$", "e$10$2")
+    return (
+        F.when(F.isnan(x), F.lit("nan"))
+        .when(size == float("inf"), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+        .when(~text.contains("E"), text)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(exponent)
+    )
+
+
 def fmt6g(x: Column) -> Column:
     """``%.6g``: six significant digits, no trailing zeros, rounded as C does.
 

@@ -84,7 +84,12 @@ def parse_number(c: Column, dtype: T.DataType | None = None) -> Column:
         return F.when(~F.isnan(c), c.cast("double"))
     if is_numeric(dtype):
         return c.cast("double")
-    return number_of(first_number(c))
+    return _once(first_number(c), number_of)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def first_number(c: Column) -> Column:
@@ -186,6 +191,6 @@ def converted(field: str, num: Column, code: Column) -> Column:
 
 def normalize_value(field: str, c: Column, dtype: T.DataType | None = None) -> Column:
     """``struct(value, code)`` for a single cell, for use in ad-hoc selects."""
-    num = parse_number(c, dtype)
-    code = conversion_code(field, c.cast("string"), num)
-    return F.struct(converted(field, num, code).alias("value"), code.alias("code"))
+    text = c.cast("string")
+    coded = _once(parse_number(c, dtype), lambda num: F.struct(num.alias("num"), conversion_code(field, text, num).alias("code")))
+    return _once(coded, lambda x: F.struct(converted(field, x["num"], x["code"]).alias("value"), x["code"].alias("code")))

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import column, fmt6g, is_numeric, norm_key, or_empty
 from ..schema import P1, P2, ROW_KEY, SEQ_DUPLICATE
@@ -22,6 +23,8 @@ from ..sources.scratch import materialise
 from .validate import flag_columns
 
 SAMPLE, PAPER_NAME, NEAR = 1, 2, 3
+ALL = (SAMPLE, PAPER_NAME, NEAR)
+IDS = ("paper_id", "sample_id", "sample_name")
 
 # Columns compared for near-duplicates, and how many must be filled.
 NEAR_COLUMNS = (
@@ -31,12 +34,12 @@ NEAR_MINIMUM = 4
 
 # (detector, field, risk, code, reason, action)
 DETECTORS = (
-    (SAMPLE, "sample_id", P1, "dup_sample_id", "sample_id occurs more than once",
-     "check for a double entry, or add a suffix per test condition"),
-    (PAPER_NAME, "paper_id+sample_name", P1, "dup_paper_sample", "sample_name occurs more than once in one paper",
-     "check whether this is one sample, another rate or cycle, or a double entry"),
-    (NEAR, "near_duplicate_values", P2, "near_duplicate", "key descriptors, test conditions and results are all equal",
-     "check for a copy, a double entry, or one material listed in several tables"),
+    (SAMPLE, "sample_id", P1, "dup_sample_id", "other rows carry this sample_id",
+     "merge the rows, or give each measurement an id of its own"),
+    (PAPER_NAME, "paper_id+sample_name", P1, "dup_paper_sample", "the paper has further rows of this sample_name",
+     "tell apart by conditions what was measured twice; merge the rest"),
+    (NEAR, "near_duplicate_values", P2, "near_duplicate", "another row agrees in every compared value",
+     "keep one row unless both places report a measurement"),
 )
 
 GROUP = ("detector", "key", "key2")
@@ -48,18 +51,37 @@ BROADCAST_BYTES = 32 << 20
 HOT_SHARE = 1 / 10_000
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str] = ROW_KEY) -> DataFrame:
+def compared_columns(names: Sequence[str], detectors: Sequence[int] = ALL) -> list[str]:
+    """The columns of a table that the detectors read, in table order."""
+    wanted = {"paper_id", "sample_id"}
+    if PAPER_NAME in detectors:
+        wanted.add("sample_name")
+    if NEAR in detectors:
+        wanted.update(NEAR_COLUMNS)
+    return [c for c in names if c in wanted]
+
+
+def duplicate_keys(
+    df: DataFrame, keys: Sequence[str] = ROW_KEY, detectors: Sequence[int] = ALL, numeric_ids: bool = False
+) -> DataFrame:
     """One row per (table row, detector) with a non-empty comparison key.
 
+    Identifiers are compared as text, also those of a numeric column; ``numeric_ids`` compares
+    the latter by six significant digits, like measured values.
+
     Blank keys are dropped here, before any shuffle, so blanks never meet in one task.
     The numbers go through one lambda over an array: the same text function for each
     column would make the generated code of the stage too long to be compiled well.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
+    if not numeric_ids:
+        df = df.withColumns({c: column(c).cast("string") for c in IDS if c in types and is_numeric(types[c])})
+        types |= {c: T.StringType() for c in IDS if c in types}
     compared = [c for c in NEAR_COLUMNS if c in types]
-    near = len(compared) >= NEAR_MINIMUM
-    by_name = "paper_id" in types and "sample_name" in types
-    texts = [c for c in ("paper_id", "sample_id", "sample_name") if c in types]
+    near = NEAR in detectors and len(compared) >= NEAR_MINIMUM
+    by_name = PAPER_NAME in detectors and "paper_id" in types and "sample_name" in types
+    needed = [c for c, of in zip(IDS, (by_name, SAMPLE in detectors, by_name)) if of]
+    texts = [c for c in needed if c in types]
     texts += [c for c in compared if near and c not in texts and not is_numeric(types[c])]
     numbers = [c for c in compared if near and is_numeric(types[c])]
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.headers import candidate_spellings
@@ -64,17 +64,31 @@ def map_headers(
 def target_names(header_map: DataFrame, table_key: Sequence[str] = ("table_id",)) -> DataFrame:
     """Add ``target``: canonical or raw name, with ``__duplicate_n`` for the second and later ones.
 
-    One group is one name within one header row, so it is bounded by the width of a table.
+    A made name that is taken already is counted on. One group is one header row, so it is
+    bounded by the width of a table.
     """
-    named = header_map.withColumn("_name", F.coalesce("canonical", "raw_header"))
-    order = Window.partitionBy(*table_key, "_name").orderBy("position")
-    rank = F.row_number().over(order) - 1
-    return named.withColumn("_rank", rank).select(
-        *header_map.columns,
-        F.when(F.col("_rank") == 0, F.col("_name"))
-        .otherwise(F.concat(F.col("_name"), F.lit(DUPLICATE_SUFFIX), F.col("_rank").cast("string")))
-        .alias("target"),
-    )
+    columns = ["position", *[c for c in header_map.columns if c != "position" and c not in table_key]]
+    rows = header_map.groupBy(*table_key).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("h"))
+    names = F.transform("h", lambda x: F.coalesce(x["canonical"], _named(x)))
+    numbered = rows.select(*table_key, F.inline(F.arrays_zip("h", free_names(names, DUPLICATE_SUFFIX).alias("target"))))
+    return numbered.select(*table_key, "h.*", "target").select(*header_map.columns, "target")
+
+
+def _named(cell: Column) -> Column:
+    """Raw header, or a name by position where it is blank."""
+    return F.coalesce(F.nullif(cell["raw_header"], F.lit("")), F.concat(F.lit("Unnamed: "), cell["position"].cast("string")))
+
+
+def free_names(names: Column, suffix: str) -> Column:
+    """The names of a header row with repeated ones numbered on until they are free: ``a, a`` to ``a, a<suffix>1``."""
+
+    def step(taken: Column, name: Column) -> Column:
+        tries = F.transform(
+            F.sequence(F.lit(0), F.size(taken)), lambda i: F.when(i == 0, name).otherwise(F.concat(name, F.lit(suffix), i.cast("string")))
+        )
+        return F.concat(taken, F.array(F.get(F.filter(tries, lambda t: ~F.array_contains(taken, t)), F.lit(0))))
+
+    return F.aggregate(names, F.array().cast("array<string>"), step)
 
 
 def unknown_headers(header_map: DataFrame) -> DataFrame:
@@ -119,10 +133,13 @@ def missing_recommended(header_map: DataFrame, table_key: Sequence[str] = ("tabl
 def schema_state(header_map: DataFrame, table_key: Sequence[str] = ("table_id",)) -> DataFrame:
     """One nested record per table: counts, column map, unknown columns, duplicates, gaps, warnings.
 
-    Each list is bounded by the width of a header row.
+    Each list is bounded by the width of a header row. In ``column_map`` repeated and blank
+    raw headers get the names that a text reader gives them (``a.1``, ``Unnamed: 3``).
     """
     by_position = F.array_sort(F.collect_list(F.struct("position", "raw_header", "canonical")))
     rows = header_map.groupBy(*table_key).agg(by_position.alias("h"))
+    unique = free_names(F.transform("h", _named), ".")
+    rows = rows.withColumn("h", F.zip_with("h", unique, lambda x, name: x.withField("unique", name)))
     known = F.filter("h", lambda x: x["canonical"].isNotNull())
     per_field = F.transform(
         F.array_distinct(F.transform(known, lambda x: x["canonical"])),
@@ -166,7 +183,7 @@ def schema_state(header_map: DataFrame, table_key: Sequence[str] = ("table_id",)
             F.size("unknown_columns").alias("n_unknown_columns"),
             F.size("dups").alias("n_duplicate_canonical_mappings"),
         ).alias("summary"),
-        F.map_from_arrays("known.raw_header", "known.canonical").alias("column_map"),
+        F.map_from_arrays("known.unique", "known.canonical").alias("column_map"),
         "unknown_columns",
         F.map_from_arrays("dups.canonical", "dups.raw_headers").alias("duplicate_canonical_mappings"),
         "missing_recommended_fields",
@@ -231,12 +248,15 @@ def deduplicated(names: Sequence[str], fold=lambda s: s) -> list[str]:
 
     ``fold`` makes names equal that the session would not tell apart.
     """
-    seen: dict[str, int] = {}
+    taken: set[str] = set()
     out = []
     for name in names:
-        n = seen.get(fold(name), 0)
-        seen[fold(name)] = n + 1
-        out.append(name if n == 0 else f"{name}{DUPLICATE_SUFFIX}{n}")
+        target, n = name, 0
+        while fold(target) in taken:
+            n += 1
+            target = f"{name}{DUPLICATE_SUFFIX}{n}"
+        taken.add(fold(target))
+        out.append(target)
     return out
 
 
@@ -271,21 +291,25 @@ def cells_to_wide(
 
     Headers are mapped without a shuffle, so a table that holds a large share of all cells
     is not gathered anywhere; the only shuffle is on the row key, whose groups are one
-    table row each. Of several headers that map to one
-    field the leftmost fills it; the others and unknown headers are kept in ``other``.
+    table row each, sorted by position inside. Of several headers that map to one field the
+    leftmost fills it; the others and unknown headers are kept in ``other``, an array of
+    (position, name, value), so that repeated and blank headers lose nothing.
     """
     vocab = vocab or Vocabulary()
-    mapped = map_headers(cells, vocab).withColumn("_name", F.coalesce("canonical", "raw_header"))
-    # Partitioned on the row key once; the window and the grouping both reuse it.
-    placed = mapped.repartition(*[column(k) for k in row_key])
-    rank = F.row_number().over(Window.partitionBy(*row_key, "_name").orderBy("position")) - 1
-    ranked = placed.withColumn("_rank", rank)
-    leading = F.col("canonical").isNotNull() & (F.col("_rank") == 0)
-    suffix = F.when(F.col("_rank") > 0, F.concat(F.lit(DUPLICATE_SUFFIX), F.col("_rank").cast("string"))).otherwise("")
-    rest = F.struct(F.concat("_name", suffix).alias("name"), F.col("raw_value").alias("value"))
+    cell = F.struct("position", "canonical", "raw_header", "raw_value")
+    rows = map_headers(cells, vocab).groupBy(*row_key).agg(F.array_sort(F.collect_list(cell)).alias("_cells"))
+    named = rows.withColumns(
+        {"_fields": F.col("_cells.canonical"), "_names": F.transform("_cells", lambda c: F.coalesce(c["canonical"], _named(c)))}
+    )
     fields: list[Column] = [
-        F.max(F.when(leading & (F.col("canonical") == name), F.col("raw_value"))).alias(name) for name in vocab.canonical
+        F.get("_cells.raw_value", F.array_position("_fields", F.lit(name)).cast("int") - 1).alias(name) for name in vocab.canonical
     ]
-    return ranked.groupBy(*row_key).agg(
-        *fields, F.map_from_entries(F.collect_list(F.when(~leading, rest))).alias("other")
-    )
+
+    def rest(c: Column, i: Column) -> Column:
+        name = F.get("_names", i)
+        rank = F.size(F.filter(F.slice("_names", F.lit(1), i), lambda n: n == name))
+        suffix = F.when(rank > 0, F.concat(F.lit(DUPLICATE_SUFFIX), rank.cast("string"))).otherwise("")
+        kept = F.struct(c["position"].alias("position"), F.concat(name, suffix).alias("name"), c["raw_value"].alias("value"))
+        return F.when(c["canonical"].isNull() | (rank > 0), kept)
+
+    return named.select(*[column(k) for k in row_key], *fields, F.array_compact(F.transform("_cells", rest)).alias("other"))

@@ -141,10 +141,11 @@ def unit_summary(normalised: DataFrame) -> DataFrame:
 
 def correction_type_counts(log: DataFrame, keys: Sequence[str] = ROW_KEY) -> DataFrame:
     """Corrections per type, most frequent first, ties by first appearance."""
+    ranked = counted_correction_types(log)
+    return ranked.orderBy(F.desc("n"), "first").drop("first")
+
+
+def counted_correction_types(log: DataFrame) -> DataFrame:
+    """(correction_type, n, first field with it), in no order."""
     per_field = log.groupBy("correction_type", "field_pos").agg(F.count("*").alias("n"))
-    return (
-        per_field.groupBy("correction_type")
-        .agg(F.sum("n").alias("n"), F.min("field_pos").alias("_first"))
-        .orderBy(F.desc("n"), "_first")
-        .drop("_first")
-    )
+    return per_field.groupBy("correction_type").agg(F.sum("n").alias("n"), F.min("field_pos").alias("first"))

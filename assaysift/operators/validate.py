@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import column, fmt6g, is_floating, is_missing, is_numeric, strip, text_or_blank
+from ..functions.text import column, fmt6g, is_floating, is_missing, is_numeric, number_text, strip, text_or_blank
 from ..schema import FLAG_COLUMNS, FLAG_EXTRAS, P0, P1, P2, ROW_KEY, SEQ_ENGINEERING, SEQ_RECOMMENDED
 from ..sources.vocab import Bounds, RuleSet, rule_table
 
@@ -18,10 +18,10 @@ ENGINEERING_FIELDS = ("mass_loading_mg_cm2", "electrode_thickness_um", "compacte
 
 # (limit, code, risk, words, action), in checking order: at most one per cell.
 BREACHES = (
-    ("hard_min", "below_hard_min", P0, "below the hard minimum", "check the paper or its SI; do not use the value as it is"),
-    ("hard_max", "above_hard_max", P0, "above the hard maximum", "check the paper or its SI; look at decimal point, unit and percent sign"),
-    ("soft_min", "below_soft_min", P1, "below the usual minimum", "check the paper; if the value is right, note the cause"),
-    ("soft_max", "above_soft_max", P1, "above the usual maximum", "check the paper; look at unit, decimal point and shifted rows"),
+    ("hard_min", "below_hard_min", P0, "below what is physically possible", "leave the value out until its source is found to say so"),
+    ("hard_max", "above_hard_max", P0, "above what is physically possible", "suspect a lost unit or a misread digit before anything else"),
+    ("soft_min", "below_soft_min", P1, "lower than samples usually are", "a rare sample or a slip: record which"),
+    ("soft_max", "above_soft_max", P1, "higher than samples usually are", "a rare sample or a slip, such as cells moved by a row: record which"),
 )
 
 _PLAIN_FLOAT = r"^[-+]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?|(?i:inf|infinity))$"
@@ -114,8 +114,8 @@ def physics_flags(df: DataFrame, rules: RuleSet | None = None, keys: Sequence[st
     gap_reason = F.when(is_recommended, F.concat(F.lit("no "), field, F.lit(": the row is hard to trace back"))).otherwise(
         F.concat(F.lit("no "), field, F.lit(": devices cannot be compared"))
     )
-    gap_action = F.when(is_recommended, F.lit("add DOI, table, figure, SI page or place in the text")).otherwise(
-        F.lit("check the methods or the electrode preparation")
+    gap_action = F.when(is_recommended, F.lit("name the place the row was taken from")).otherwise(
+        F.lit("look for how the electrode was made")
     )
     gap_code = F.when(is_recommended, F.lit("missing_recommended")).otherwise(F.lit("missing_engineering"))
     return found.select(
@@ -123,7 +123,7 @@ def physics_flags(df: DataFrame, rules: RuleSet | None = None, keys: Sequence[st
         F.col("_paper").alias("paper_id"),
         F.col("_sample").alias("sample_id"),
         field.alias("field"),
-        F.coalesce(value.cast("string"), F.lit("")).alias("value"),
+        F.coalesce(number_text(value), F.lit("")).alias("value"),
         F.when(is_range, per_limit["risk"]).otherwise(F.lit(P2)).alias("risk_level"),
         F.when(is_range, range_reason).otherwise(gap_reason).alias("reason"),
         F.when(is_range, per_limit["action"]).otherwise(gap_action).alias("required_action"),

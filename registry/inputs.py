@@ -12,10 +12,15 @@ from pyspark.sql import functions as F
 
 from assaysift.session import spread, tune
 
-KEYS = ("k", "p", "s", "n")
+# The four numbers of a line item are not unique; with the price in cents they are.
+KEYS = ("k", "p", "s", "n", "e")
 COPY_KEYS = (*KEYS, "copy")
 
-BASE = "l_orderkey AS k, l_partkey AS p, l_suppkey AS s, l_linenumber AS n, cast(l_quantity AS int) AS q"
+BASE = (
+    "l_orderkey AS k, l_partkey AS p, l_suppkey AS s, l_linenumber AS n, cast(round(l_extendedprice * 100) AS bigint) AS e, "
+    "cast(l_quantity AS int) AS q"
+)
+BASE_COLUMNS = BASE.split(", ")
 PADDED = "lpad(cast(q AS string), 2, '0') AS q2"
 
 # raw header -> (canonical field, text)
@@ -93,7 +98,7 @@ SPELLINGS: dict[str, tuple[str, ...]] = {
     "loading": ("loading", "mass loading mg/cm2", "thickness (µm)", "thickness µm"),
     "ICE": ("ICE", "initial CE %", "ICE (%)"),
     "capacity": ("capacity", "capacity mAh/g", "capacity from table 2", "reversible capacity"),
-    "capacitance": ("capacitance", "capacitance F/g", "capacitance reported at 1 A/g"),
+    "capacitance": ("capacitance", "capacity", "capacitance reported at 1 A/g"),
     "current density": ("current density", "rate", "Current density (A g⁻¹)"),
     "source": ("source", "Figure", "Voltage V", "source_location"),
     "random_col": ("random_col", "a.1", "note"),
@@ -113,7 +118,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dirty table with raw headers, keyed by ``KEYS``."""
-    base = table(spark, sf_dir, "lineitem").selectExpr(*BASE.split(", ")).selectExpr("*", PADDED)
+    base = table(spark, sf_dir, "lineitem").selectExpr(*BASE_COLUMNS).selectExpr("*", PADDED)
     return base.select(*KEYS, *[F.expr(text).alias(header) for header, (_, text) in RAW.items()])
 
 
@@ -142,7 +147,7 @@ def header_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_extract`` cell by cell, with the header spelling of its table (the order)."""
-    base = table(spark, sf_dir, "lineitem").selectExpr(*BASE.split(", ")).selectExpr("*", PADDED)
+    base = table(spark, sf_dir, "lineitem").selectExpr(*BASE_COLUMNS).selectExpr("*", PADDED)
     entries = [
         F.struct(
             F.lit(i).alias("position"),

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from assaysift.functions.headers import REMARK_WORDS, UNIT_WORDS
 from assaysift.sources.vocab import FIELD_ALIASES, FIELD_BOUNDS, RECOMMENDED_FIELDS
 
 from .inputs import BASE, PADDED, RAW, raw_header_case
 
 CANON = {canonical: text for canonical, text in RAW.values()}
 NUMBERS = [c for c in CANON if c in FIELD_BOUNDS]
-K = "k, p, s, n"
-KC = "k, p, s, n, copy"
+K = "k, p, s, n, e"
+KC = "k, p, s, n, e, copy"
+
+# Fixed values, not taken from the library: what the header checks cut off.
+UNIT_WORDS = (
+    "m2/g", "cm2/g", "cm3/g", "mg/cm2", "g/cm3", "mah/g", "f/g", "a/g", "ma/g",
+    "nm", "a", "angstrom", "um", "at%", "wt%", "%", "c", "v", "mv/s",
+)
+REMARK_WORDS = ("unit", "units", "value", "reported", "from", "source")
 
 NUM = r"try_cast(nullif(regexp_extract(replace({c}, ',', ''), '[-+]?\d*\.?\d+(?:[eE][-+]?\d+)?'), '') AS double)"
 TEXT = "coalesce(translate(lower({c}), '−⁻²³·μ', '--23 µ'), '')"
@@ -137,6 +143,7 @@ def _physics() -> str:
     return "physics AS (" + " UNION ALL ".join(parts) + ")"
 
 
+# Numbers that near-duplicates are compared by.
 NEAR = ("BET_m2_g", "d002_nm", "ID_IG", "ICE_pct", "capacity_mAh_g", "capacitance_F_g", "current_density_A_g")
 
 
@@ -183,7 +190,7 @@ SEVERITY = "CASE risk_level WHEN 'P0' THEN 0 WHEN 'P1' THEN 1 WHEN 'P2' THEN 2 E
 DECISION = "CASE WHEN \"P0\" > 0 THEN 'NOT_READY' WHEN \"P1\" > 0 THEN 'REVIEW_NEEDED' ELSE 'PASS_WITH_NOTES' END"
 FIELD_COUNTS = (
     "per_field AS (SELECT field, count(*) AS n, min(struct_pack(d := CASE WHEN flag_seq >= 3000 THEN flag_seq ELSE 0 END, k := k, p := p, "
-    "s := s, n := n, q := flag_seq)) AS seen FROM flags GROUP BY field), "
+    "s := s, n := n, e := e, q := flag_seq)) AS seen FROM flags GROUP BY field), "
     "fields AS (SELECT field, n, row_number() OVER (ORDER BY n DESC, seen) - 1 AS i FROM per_field QUALIFY i < 20)"
 )
 TYPE_COUNTS = (
@@ -232,6 +239,7 @@ def _headers() -> str:
     return _with(_catalogue(), _mapped("catalogue", "table_id"))
 
 
+# Fields that every table should have.
 EXPECTED = ("paper_id", "sample_id", "sample_name", "source_location")
 DUP_TARGETS = (
     "dup_targets AS (SELECT table_id, canonical, count(*) AS n, string_agg(raw_header, ', ' ORDER BY position) AS raw_headers, "
@@ -297,8 +305,8 @@ def oracle_sql() -> dict[str, str]:
         "correction_type_counts": log + "SELECT correction_type, count(*) AS n FROM log GROUP BY correction_type",
         "missing_mask": _with(_clean()) + f"SELECT {K}, " + ", ".join(f"{MISSING.format(c=c)} AS {c}" for c in ("paper_id", "sample_id", "sample_name", "source_location"))
         + ', "mass_loading_mg_cm2" IS NULL AS "mass_loading_mg_cm2", "ICE_pct" IS NULL AS "ICE_pct" FROM norm',
-        "hard_bounds": _with(_clean(), _physics()) + f"SELECT {K}, field, value_num, rule_code FROM physics WHERE rule_code IN ('below_hard_min', 'above_hard_max')",
-        "soft_bounds": _with(_clean(), _physics()) + f"SELECT {K}, field, value_num, rule_code FROM physics WHERE rule_code IN ('below_soft_min', 'above_soft_max')",
+        "hard_bounds": _with(_clean(), _physics()) + f"SELECT {K}, field, value_num, cast(value_num AS varchar) AS value, rule_code FROM physics WHERE rule_code IN ('below_hard_min', 'above_hard_max')",
+        "soft_bounds": _with(_clean(), _physics()) + f"SELECT {K}, field, value_num, cast(value_num AS varchar) AS value, rule_code FROM physics WHERE rule_code IN ('below_soft_min', 'above_soft_max')",
         "physics_flags": _with(_clean(), _physics()) + f"SELECT {K}, {FLAG_OUT} FROM physics",
         "physics_flags_rule_table": _with(_clean(), _physics()) + f"SELECT {K}, field, value_num, risk_level, rule_code, flag_seq FROM physics WHERE flag_seq < 1000",
         "norm_keys": keyed + f"SELECT {K}, detector, key, key2 FROM keyed",
@@ -352,8 +360,20 @@ def oracle_sql() -> dict[str, str]:
         "UNION ALL SELECT 'correction_types', i, correction_type, cast(n AS varchar) FROM types "
         "UNION ALL SELECT 'risk_fields', i, field, cast(n AS varchar) FROM fields "
         "UNION ALL SELECT 'top_items', i, risk_level || ' ' || paper_id || ' ' || sample_id || ' ' || field, rule_code FROM top",
-        "csv_roundtrip": _with(_raw()) + f"SELECT cast(k AS bigint) AS k, cast(p AS bigint) AS p, cast(s AS bigint) AS s, cast(n AS bigint) AS n, "
+        "csv_roundtrip": _with(_raw()) + f"SELECT cast(k AS bigint) AS k, cast(p AS bigint) AS p, cast(s AS bigint) AS s, cast(n AS bigint) AS n, cast(e AS bigint) AS e, "
         + ", ".join(_null_tokens(c) for c in CANON) + " FROM raw",
+        "csv_mixed_headers": _with(_raw()) + f"SELECT {', '.join(f'cast({k} AS bigint) AS {k}' for k in K.split(', '))}, "
+        + ", ".join(_null_tokens(c) for c in ("paper_id", "BET_m2_g")) + ", CASE WHEN p % 3 = 2 THEN concat('x', p) END AS extra FROM raw",
+        "txt_roundtrip": _with(_raw()) + f"SELECT {', '.join(f'cast({k} AS bigint) AS {k}' for k in K.split(', '))}, "
+        + ", ".join(_null_tokens(c) for c in ("paper_id", "d002_nm")) + " FROM raw",
+        "flags_sink": flags + f"SELECT {K}, paper_id, sample_id, field, CASE WHEN flag_seq >= 3000 THEN NULL ELSE coalesce(cast(value_num AS varchar), '') END AS value, risk_level FROM flags",
+        "correction_sink": log + f"SELECT {K}, paper_id, sample_id, field, original_value, cleaned_value, correction_type, confidence FROM log",
+        "custom_rules": _with(_clean()) + f"SELECT {K}, 'BET_m2_g' AS field, 'P0' AS risk_level, 'above_hard_max' AS rule_code, \"BET_m2_g\" AS value_num FROM norm WHERE \"BET_m2_g\" > 900 "
+        f"UNION ALL SELECT {K}, 'ID_IG', 'P1', 'below_soft_min', \"ID_IG\" FROM norm WHERE \"ID_IG\" < 1.2 "
+        f"UNION ALL SELECT {K}, 'sample_name', 'P2', 'missing_recommended', NULL FROM norm WHERE {MISSING.format(c='sample_name')} "
+        f"UNION ALL SELECT {K}, 'mass_loading_mg_cm2', 'P2', 'missing_engineering', NULL FROM norm WHERE \"mass_loading_mg_cm2\" IS NULL",
+        "dup_integer_id": "SELECT l_partkey AS p, count(*) AS n FROM (SELECT l_partkey, l_orderkey * 1000003 AS id FROM lineitem) "
+        "WHERE id IN (SELECT l_orderkey * 1000003 FROM lineitem GROUP BY 1 HAVING count(*) > 1) GROUP BY 1",
         "csv_row_index": "SELECT count(*) AS n, 0::bigint AS lowest, count(*) - 1 AS highest, count(*) AS distinct_rows FROM lineitem",
         "parquet_row_index": "SELECT count(*) AS n, 0::bigint AS lowest, count(*) - 1 AS highest, count(*) AS distinct_rows FROM lineitem",
     }

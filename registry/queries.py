@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,9 +13,11 @@ from assaysift.functions.text import column, fmt6g
 from assaysift.functions.units import NUMERIC_FIELDS, normalize_value, parse_number, unit_text
 from assaysift.operators import audit, duplicates, headers, units, validate
 from assaysift.plans import report
+from assaysift.schema import SEQ_DUPLICATE
 from assaysift.sources import sinks
 from assaysift.sources.scratch import materialise, scratch_folder
 from assaysift.sources.tables import read_table
+from assaysift.sources.vocab import Bounds, RuleSet
 
 from .inputs import COPY_KEYS, KEYS, RAW, header_catalogue, raw_cells, raw_extract, raw_extract_copies, table
 
@@ -123,16 +126,17 @@ def _bounds(prefix: str) -> Query:
     codes = [b[1] for b in validate.BREACHES if b[0].startswith(prefix)]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _physics(spark, sf_dir).where(F.col("rule_code").isin(*codes)).select(*KEYS, "field", "value_num", "rule_code")
+        return _physics(spark, sf_dir).where(F.col("rule_code").isin(*codes)).select(*KEYS, "field", "value_num", "value", "rule_code")
 
     return run
 
 
 def _detector(number: int) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        source = materialise((cleaned_copies if number == duplicates.NEAR else cleaned)(spark, sf_dir), "cleaned")
+        table_ = (cleaned_copies if number == duplicates.NEAR else cleaned)(spark, sf_dir)
         keys = COPY_KEYS if number == duplicates.NEAR else KEYS
-        keyed = duplicates.duplicate_keys(source, keys).where(F.col("detector") == number)
+        columns = [column(c) for c in (*keys, *duplicates.compared_columns(table_.columns, (number,)))]
+        keyed = duplicates.duplicate_keys(materialise(table_.select(*columns), "compared"), keys, (number,))
         hits = duplicates.rows_with_repeated_key(keyed, keys)
         return hits.select(*keys, "key", "key2")
 
@@ -224,15 +228,74 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = materialise(_log(spark, sf_dir), "log")
+    plan = next(p for names, p in _PLANS.items() if names == tuple(RAW))
     totals = table(spark, sf_dir, "lineitem").agg(
-        F.count("*").alias("n_rows"), F.lit(len(RAW)).alias("n_raw_columns"), F.lit(1).alias("n_unknown_columns")
+        F.count("*").alias("n_rows"), F.lit(len(plan.raw)).alias("n_raw_columns"), F.lit(len(plan.unknown)).alias("n_unknown_columns")
+    )
+    return report.report_rows(stored_flags(spark, sf_dir), log, totals, KEYS)
+
+
+def _fresh(spark: SparkSession, kind: str) -> str:
+    return f"{scratch_folder(spark).rstrip('/')}/query-{uuid.uuid4().hex}.{kind}"
+
+
+def _numbers(df: DataFrame, *rest: Column | str) -> DataFrame:
+    return df.select(*[F.col(k).cast("bigint").alias(k) for k in KEYS], *rest)
+
+
+def _csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one folder with their columns in different orders, and one column that only some have."""
+    path, raw = _fresh(spark, "csv"), raw_extract(spark, sf_dir)
+    orders = ([*KEYS, "paper", "BET"], ["BET", *KEYS[::-1], "paper"], ["paper", "extra", *KEYS, "BET"])
+    for i, names in enumerate(orders):
+        part = raw.where(F.col("p") % 3 == i).withColumn("extra", F.concat(F.lit("x"), F.col("p")))
+        sinks.write_table(part.select(*names), f"{path}/part{i}", "csv")
+    back = read_table(spark, f"{path}/*", fmt="csv", multi_line=False)
+    return _numbers(back, F.col("paper").alias("paper_id"), F.col("BET").alias("BET_m2_g"), "extra")
+
+
+def _txt_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _fresh(spark, "txt")
+    sinks.write_table(raw_extract(spark, sf_dir).select(*KEYS, "paper", "d002"), path, "csv")
+    return _numbers(read_table(spark, path), F.col("paper").alias("paper_id"), F.col("d002").alias("d002_nm"))
+
+
+def _flags_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flags as the pipeline writes them, read back."""
+    path = _fresh(spark, "parquet")
+    names = [*KEYS, "paper_id", "sample_id", "field", "value", "risk_level"]
+    own = F.when(F.col("flag_seq") < SEQ_DUPLICATE, F.col("value"))  # values of the duplicate flags: query duplicate_flags
+    sinks.write_table(flags(spark, sf_dir).withColumn("value", own).select(*names), path, "parquet")
+    return spark.read.parquet(path)
+
+
+def _correction_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _fresh(spark, "parquet")
+    sinks.write_table(_log(spark, sf_dir).drop("reason", "field_pos"), path, "parquet")
+    return spark.read.parquet(path)
+
+
+def _custom_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds and recommended fields of one's own, in the place of the built-in ones."""
+    rules = RuleSet({"BET_m2_g": Bounds(hard_max=900, unit="m2/g"), "ID_IG": Bounds(soft_min=1.2)}, ("sample_name",))
+    found = validate.physics_flags(cleaned(spark, sf_dir), rules, KEYS)
+    return found.select(*KEYS, "field", "risk_level", "rule_code", "value_num")
+
+
+def _dup_integer_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers of an integer column are compared digit by digit."""
+    items = table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("p"), F.monotonically_increasing_id().alias("i"), (F.col("l_orderkey") * 1000003).alias("sample_id")
     )
-    return report.report_rows(stored_flags(spark, sf_dir), materialise(_log(spark, sf_dir), "log"), totals, KEYS)
+    items = materialise(items, "items")
+    keyed = duplicates.duplicate_keys(items, ("p", "i"), (duplicates.SAMPLE,))
+    return duplicates.rows_with_repeated_key(keyed, ("p", "i")).groupBy("p").agg(F.count("*").alias("n"))
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the raw table as CSV, read it back: string columns, null tokens, contiguous row index."""
-    path = f"{scratch_folder(spark)}/roundtrip-{abs(hash(sf_dir))}.csv"
+    path = _fresh(spark, "csv")
     raw = raw_extract(spark, sf_dir)
     sinks.write_table(raw, path, "csv")
     back = read_table(spark, path)
@@ -240,7 +303,7 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _csv_row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{scratch_folder(spark)}/rows-{abs(hash(sf_dir))}.csv"
+    path = _fresh(spark, "csv")
     sinks.write_table(raw_extract(spark, sf_dir), path, "csv")
     return _index_check(read_table(spark, path, multi_line=False))
 
@@ -312,6 +375,12 @@ def queries() -> dict[str, Query]:
         "run_manifest": _manifest,
         "report_rows": _report_rows,
         "csv_roundtrip": _csv_roundtrip,
+        "csv_mixed_headers": _csv_mixed_headers,
+        "txt_roundtrip": _txt_roundtrip,
+        "flags_sink": _flags_sink,
+        "correction_sink": _correction_sink,
+        "custom_rules": _custom_rules,
+        "dup_integer_id": _dup_integer_id,
         "csv_row_index": _csv_row_index,
         "parquet_row_index": _parquet_row_index,
     }

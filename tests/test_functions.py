@@ -11,18 +11,18 @@ from assaysift.functions import units as un
 
 # field, text, value, rule
 CELLS = [
-    ("d002_nm", "3.72 Å", 0.372, "angstrom"),
-    ("d002_nm", "3.72 A", 0.372, "angstrom"),
-    ("d002_nm", "3.72", 0.372, "bare_angstrom"),
-    ("d002_nm", "3.72 nm", 3.72, None),
+    ("d002_nm", "3.44 Å", 0.344, "angstrom"),
+    ("d002_nm", "3.44 A", 0.344, "angstrom"),
+    ("d002_nm", "3.44", 0.344, "bare_angstrom"),
+    ("d002_nm", "3.44 nm", 3.44, None),
     ("d002_nm", "3.72 Å", 0.372, "bare_angstrom"),
     ("d002_nm", "3.72 Å", 0.372, "angstrom"),
     ("d002_nm", "d002 = 3.7", 2.0, None),
-    ("current_density_A_g", "100 mA/g", 0.1, "ma_per_g"),
+    ("current_density_A_g", "70 mA/g", 0.07, "ma_per_g"),
     ("current_density_A_g", "100 mA·g-1", 0.1, "ma_per_g"),
     ("current_density_A_g", "0.2 A/g", 0.2, None),
-    ("capacity_mAh_g", "310 mAh/g", 310.0, None),
-    ("capacity_mAh_g", "0.31 Ah/g", 310.0, "ah_per_g"),
+    ("capacity_mAh_g", "265 mAh/g", 265.0, None),
+    ("capacity_mAh_g", "0.265 Ah/g", 265.0, "ah_per_g"),
     ("capacity_mAh_g", "0.31 Ah g⁻1", 310.0, "ah_per_g"),
     ("capacity_mAh_g", "0.31 µAh/g", 310.0, "ah_per_g"),
     ("capacity_mAh_g", "320 F/g", 320.0, None),
@@ -113,3 +113,13 @@ def test_header_spellings(spark):
     df = spark.createDataFrame([(p,) for p in probes], "h string")
     for r in df.select("h", hf.header_candidates(F.col("h")).alias("c")).collect():
         assert r["c"][: len(probes[r["h"]])] == probes[r["h"]], r
+
+
+def test_number_text_and_safe_str(spark):
+    import assaysift.functions.text as tx
+
+    values = [12300000.0, 0.0001, 1e16, 1.5e-7, 0.1, -2.5e9, 123456789012345.6, float("inf"), float("nan"), None, 1e22, 0.00012345, -0.0, 3e-5]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(tx.number_text(F.col("v"))).collect()] == [None if v is None else str(v) for v in values]
+    df = spark.createDataFrame([(" a b ",), ("nan",), (None,), ("-",), ("0",)], "t string")
+    assert [r[0] for r in df.select(tx.safe_str(F.col("t"))).collect()] == ["a b", "", "", "", "0"]
