@@ -8,10 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_run: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -26,9 +30,27 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Tables stored inside the block share one folder, which is deleted when the block ends.
+
+    For runs that write their results before the end; frames that read the stored tables
+    are of no use afterwards. Without such a block the tables stay.
+    """
+    folder = f"{scratch_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    token = _run.set(folder)
+    try:
+        yield folder
+    finally:
+        _run.reset(token)
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{scratch_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{_run.get() or scratch_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

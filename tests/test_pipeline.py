@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,6 +62,16 @@ def test_demo_table(spark, tmp_path):
     assert spark.read.json(f"{out}/state/03_physics_flags/records").count() == 4
 
 
+def test_run_folder_is_released(spark, tmp_path):
+    from assaysift.sources.scratch import materialise, run_folder
+
+    with run_folder(spark) as folder:
+        df = materialise(spark.range(5), "x")
+        assert df.count() == 5 and Path(folder).is_dir()
+    assert not Path(folder).exists()
+    assert materialise(spark.range(5), "x").count() == 5
+
+
 def test_one_impossible_value(spark, tmp_path):
     text = "DOI,material,SSA,ICE (%),Figure\nz9,m-1,730 m2/g,79%,F1\nz9,m-2,88000 m2/g,77%,F2\n"
     result = clean_table(spark, _file(tmp_path, text), str(tmp_path / "o"), fmt="parquet")
