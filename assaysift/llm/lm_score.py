@@ -22,7 +22,7 @@ from .common import BoundedCache, ngram_hashes, parts_for, table
 
 ORDER = 2
 BACKOFF = 0.4
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 6_000_000  #: a block of texts, its words and their n-grams are in one task at a time
 BUCKET_CHARS = 16_000_000  #: about so many characters of the corpus per bucket of the count table
 
 
