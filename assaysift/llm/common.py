@@ -17,6 +17,13 @@ Batches = Iterator[pa.RecordBatch]
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def slices(batches: Batches, rows: int = 500) -> Batches:
+    """The batches in short pieces, so that few texts at a time are Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def letter_runs(text: str) -> list[str]:
     """Lower-cased maximal runs of letters."""
     return _LETTERS.findall(text.lower())
@@ -47,7 +54,7 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
 class BoundedCache(dict):
     """A dict that computes what it lacks and starts afresh at ``limit`` entries."""
 
-    def __init__(self, make: Callable, limit: int = 400_000):
+    def __init__(self, make: Callable, limit: int = 300_000):
         super().__init__()
         self.make, self.limit = make, limit
 
@@ -58,6 +65,20 @@ class BoundedCache(dict):
         return value
 
 
+_live: dict = {}
+
+
+def worker_cache(name, make: Callable):
+    """What ``make`` gives, kept while this Python worker serves one operator.
+
+    Workers are reused from stage to stage; asking for another operator's cache drops the last one.
+    """
+    if name not in _live:
+        _live.clear()
+        _live[name] = make()
+    return _live[name]
+
+
 def bucket(key: Column | str, residue: int, modulus: int) -> Column:
     """Whether crc32 of the key as text leaves ``residue``; null for a null key."""
     column = F.col(key) if isinstance(key, str) else key

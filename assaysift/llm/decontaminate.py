@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from functools import lru_cache, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Batches, BoundedCache, ngram_hashes, parts_for, table
+from .common import Batches, BoundedCache, ngram_hashes, parts_for, slices, table, worker_cache
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -34,9 +34,8 @@ _WORDS = re.compile(r"\w+")
 _TOP_BITS = 20
 
 
-@lru_cache(maxsize=1)
 def _word_hashes() -> BoundedCache:
-    return BoundedCache(xxhash.xxh3_64_intdigest)
+    return worker_cache("decontaminate", lambda: BoundedCache(xxhash.xxh3_64_intdigest))
 
 
 def words_of(text: str) -> list[str]:
@@ -132,7 +131,7 @@ def contained_items(
             from pyspark.sql.pandas.types import to_arrow_type
 
             kind = to_arrow_type(item_type)
-            for batch in batches:
+            for batch in slices(batches):
                 rows = [(i, *hit) for i, t in enumerate(batch.column(1).to_pylist()) for hit in shared.value.search(t)]
                 owner, item, size, held = zip(*rows, strict=True) if rows else ((), (), (), ())
                 size, held = pa.array(size, pa.int64()), pa.array(held, pa.int64())
@@ -155,7 +154,7 @@ def drop_contaminated(
         shared = documents.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Batches, shared=shared):
-            for batch in batches:
+            for batch in slices(batches):
                 texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
                 yield batch.filter(pa.array([not shared.value.search(t) for t in texts], pa.bool_()))
 

@@ -12,16 +12,15 @@ from __future__ import annotations
 import math
 import pickle
 from dataclasses import dataclass
-from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, BoundedCache, bucket, letter_runs, table
+from .common import Batches, BoundedCache, bucket, letter_runs, slices, table, worker_cache
 
-DOCS_PER_LANGUAGE = 80  #: bound of the labelled sample: about so many whole texts of each language
+DOCS_PER_LANGUAGE = 60  #: bound of the labelled sample: about so many whole texts of each language
 UNKNOWN = "und"
 _POINTS = 0x110000
 _FIELD = 40  #: bits per language in a summed count
@@ -124,10 +123,9 @@ def fit(documents: DataFrame, *, key: str = "doc_id", text: str = "text", lang:
     return LanguageModel(tuple(f[0] for f in found), tuple(f[1] for f in found), tuple(f[2] for f in found))
 
 
-@lru_cache(maxsize=2)
 def _cache(shared) -> BoundedCache:
-    """Phrases by word, kept while the worker lives; one per broadcast model."""
-    return BoundedCache(shared.value.word)
+    """Phrases by word, for one broadcast model."""
+    return worker_cache(("language", id(shared.value)), lambda: BoundedCache(shared.value.word, 150_000))
 
 
 def identify(documents: DataFrame, model: LanguageModel, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -140,7 +138,7 @@ def identify(documents: DataFrame, model: LanguageModel, *, key: str = "doc_id",
 
     def run(batches: Batches):
         cache = _cache(shared)
-        for batch in batches:
+        for batch in slices(batches):
             found = [shared.value.predict(t, cache) for t in batch.column(1).to_pylist()]
             langs, scores = [f[0] for f in found], [f[1] for f in found]
             yield pa.RecordBatch.from_arrays(
@@ -158,7 +156,7 @@ def keep_languages(documents: DataFrame, model: LanguageModel, *, languages: tup
 
     def run(batches: Batches):
         cache = _cache(shared)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             yield batch.filter(pa.array([shared.value.predict(t, cache)[0] in wanted for t in texts], pa.bool_()))
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import Batches, table
+from .common import Batches, slices, table
 
 LEVEL = 9
 COVERAGE = 0.75  #: share of the block's words that must be the template's, in order
@@ -177,7 +177,7 @@ def scan_licenses(documents: DataFrame, *, key: str = "doc_id", text: str = "tex
 
     def run(batches: Batches):
         scanner = _scanner()
-        for batch in batches:
+        for batch in slices(batches):
             rows = [(i, *hit) for i, t in enumerate(batch.column(1).to_pylist()) for hit in scanner.scan(t)]
             columns = list(zip(*rows, strict=True)) if rows else [()] * 9
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.bool_(), pa.int64(), pa.string(), pa.string()]

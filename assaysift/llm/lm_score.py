@@ -10,15 +10,13 @@ counts, so a text is scored by what the rest of the corpus holds; copies elsewhe
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, ngram_hashes, parts_for, table
+from .common import BoundedCache, ngram_hashes, parts_for, table, worker_cache
 
 ORDER = 2
 BACKOFF = 0.4
@@ -26,9 +24,8 @@ BLOCK_CHARS = 6_000_000  #: a block of texts, its words and their n-grams are in
 BUCKET_CHARS = 16_000_000  #: about so many characters of the corpus per bucket of the count table
 
 
-@lru_cache(maxsize=1)
 def _word_hashes() -> BoundedCache:
-    return BoundedCache(xxhash.xxh3_64_intdigest)
+    return worker_cache("lm_score", lambda: BoundedCache(xxhash.xxh3_64_intdigest))
 
 
 def _bounds(buckets: int) -> np.ndarray:

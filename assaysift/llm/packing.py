@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, parts_for, stored, table
+from .common import Batches, parts_for, slices, stored, table
 from .tokens import TOKENIZER, encode
 
 CAPACITY = 2048
@@ -88,7 +88,7 @@ def pieces(documents: DataFrame, *, key: str = "doc_id", text: str = "text", tok
     """Key, piece, start, length and ids_crc32 of every piece: a document's ids, then id 0, cut at ``capacity``."""
 
     def run(batches: Batches):
-        for batch in batches:
+        for batch in slices(batches):
             owner, piece, start, length, crc = [], [], [], [], []
             for row, data in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
                 ids = (encode(data, tokenizer) if data else b"") + _END

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import Batches, BoundedCache, table
+from .common import Batches, BoundedCache, slices, table, worker_cache
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
@@ -67,13 +66,16 @@ class ChunkEncoder:
         return self.runs[word.lower()] + self.runs[marks] if marks else self.runs[word.lower()]
 
 
-@lru_cache(maxsize=4)
 def _worker(path: str) -> tuple[ChunkEncoder, BoundedCache, BoundedCache]:
     """One per Python worker: the encoder, counts by chunk and ids by chunk; the caches are bounded."""
-    encoder = ChunkEncoder(path)
-    counts = BoundedCache(lambda chunk: len(encoder.ids(chunk)))
-    ids = BoundedCache(lambda chunk: np.array(encoder.ids(chunk), "<u4").tobytes())
-    return encoder, counts, ids
+
+    def make():
+        encoder = ChunkEncoder(path)
+        counts = BoundedCache(lambda chunk: len(encoder.ids(chunk)))
+        ids = BoundedCache(lambda chunk: np.array(encoder.ids(chunk), "<u4").tobytes())
+        return encoder, counts, ids
+
+    return worker_cache(("tokens", path), make)
 
 
 def _path(tokenizer: str) -> str:
@@ -136,7 +138,7 @@ def count_tokens(
     def run(batches: Batches):
         path = _path(tokenizer)
         counts = _worker(path)[1].__getitem__
-        for batch in batches:
+        for batch in slices(batches):
             rows: dict[str, list] = {"n_bytes": [], "n_tokens": [], "ends": [], "totals": []}
             for data in batch.column(1).cast(pa.binary()).to_pylist():
                 data = data or b""
@@ -162,7 +164,7 @@ def truncated(counted: DataFrame, budget: int = LIMIT, *, key: str = "doc_id", t
     """Key and ``kept_bytes``, the longest prefix within ``budget``, from rows with text, ends and totals."""
 
     def run(batches: Batches):
-        for batch in batches:
+        for batch in slices(batches):
             kept = []
             for data, ends, totals in zip(*(batch.column(i).cast(pa.binary()).to_pylist() for i in (1, 2, 3)), strict=True):
                 kept.append(longest_within(data or b"", np.frombuffer(ends, "<u4"), np.frombuffer(totals, "<u4"), budget, tokenizer))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, bucket, letter_runs, stored, table
+from .common import Batches, bucket, letter_runs, slices, stored, table
 
 ROWS_PER_CLASS = 10_000  #: bound of the labelled sample: rows of each class that are read
 CONFIDENCE = (3.0, 6.0)  #: for words and pairs; a count below the square keeps nothing after the discount
@@ -85,8 +85,8 @@ def _sample(labelled: DataFrame, key: str, label: str, rows_per_class: int) -> t
 
 
 def _count(batches: Batches):
-    """Per batch: the distinct (word before, history, word) of each class; '' stands before a document."""
-    for batch in batches:
+    """Per slice: the distinct (word before, history, word) of each class; '' stands before a document."""
+    for batch in slices(batches, 200):
         seen: dict[tuple[str, str, str], int] = {}
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             runs = letter_runs(text) if text else []
@@ -199,7 +199,7 @@ def _ratios(df: DataFrame, text: str, carry: list[str], model: ToxicityModel) ->
 
     def run(batches: Batches):
         held = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             found = [held.ratio(t) for t in batch.column(0).to_pylist()]
             ratio, n = [r for r, _ in found], [n for _, n in found]
             score = [held.score(r, k) for r, k in found]
@@ -241,7 +241,7 @@ def keep_civil(documents: DataFrame, model: ToxicityModel, *, threshold: float =
 
     def run(batches: Batches):
         held = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             yield batch.filter(pa.array([held.score(*held.ratio(t)) < threshold for t in texts], pa.bool_()))
 
