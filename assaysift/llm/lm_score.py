@@ -33,6 +33,15 @@ def _bounds(buckets: int) -> np.ndarray:
     return np.array([-(-(i << 64) // buckets) for i in range(1, buckets)], np.uint64)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers byte by byte, all lowest bytes first, so that Spark's codec finds the zero bytes side by side."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
 def _grams(texts: list[str | None], order: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Per order, the hashes at every position of all texts in a row; and the texts' numbers of words."""
     cache = _word_hashes()
@@ -49,7 +58,8 @@ def _slices(block: pd.DataFrame, order: int, buckets: int) -> pd.DataFrame:
         cuts = [0, *np.searchsorted(distinct, _bounds(buckets)).tolist(), len(distinct)]
         for bucket, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
             if b > a or k == 1:  # every block hears of every bucket's words, for the size of the corpus
-                rows.append((bucket, int(block["block"].iloc[0]), k, distinct[a:b].tobytes(), counts[a:b].astype("<u4").tobytes()))
+                steps = np.diff(distinct[a:b], prepend=np.uint64(0))  # sorted, so steps are shorter than the hashes
+                rows.append((bucket, int(block["block"].iloc[0]), k, _planes(steps), _planes(counts[a:b])))
     return pd.DataFrame(rows, columns=["bucket", "block", "k", "hashes", "counts"])
 
 
@@ -57,8 +67,8 @@ def _totals(bucket: pd.DataFrame) -> pd.DataFrame:
     """The bucket's part of the count tables, joined to every slice: totals in the slice's order."""
     out = []
     for k, slices in bucket.groupby("k"):
-        hashes = np.concatenate([np.frombuffer(h, np.uint64) for h in slices["hashes"]])
-        counts = np.concatenate([np.frombuffer(c, "<u4") for c in slices["counts"]]).astype(np.int64)
+        hashes = np.concatenate([np.cumsum(_from_planes(h), dtype=np.uint64) for h in slices["hashes"]])
+        counts = np.concatenate([_from_planes(c) for c in slices["counts"]]).astype(np.int64)
         order = np.argsort(hashes, kind="stable")
         starts = np.flatnonzero(np.append(True, hashes[order][1:] != hashes[order][:-1])) if len(hashes) else np.empty(0, int)
         sums = np.add.reduceat(counts[order], starts) if len(starts) else np.empty(0, np.int64)
@@ -67,7 +77,7 @@ def _totals(bucket: pd.DataFrame) -> pd.DataFrame:
         mass, at = int(counts.sum()), 0
         for block, own in zip(slices["block"], slices["hashes"], strict=True):
             n = len(own) // 8
-            out.append((int(block), int(k), int(slices["bucket"].iloc[0]), total[at : at + n].astype("<u8").tobytes(), mass))
+            out.append((int(block), int(k), int(slices["bucket"].iloc[0]), _planes(total[at : at + n]), mass))
             at += n
     return pd.DataFrame(out, columns=["block", "k", "bucket", "totals", "mass"])
 
@@ -78,7 +88,7 @@ def _score(block: pd.DataFrame, answers: pd.DataFrame, order: int, backoff: floa
     others = []  # per order and position: occurrences outside the position's document
     for k, hashes in enumerate(grams, 1):
         mine = answers[answers["k"] == k].sort_values("bucket")
-        totals = np.concatenate([np.frombuffer(t, "<u8") for t in mine["totals"]] or [np.empty(0, "<u8")]).astype(np.int64)
+        totals = np.concatenate([_from_planes(t) for t in mine["totals"]] or [np.empty(0, "<u8")]).astype(np.int64)
         distinct, inverse = np.unique(hashes, return_inverse=True)
         per_text = np.maximum(sizes - k + 1, 0)
         text = np.repeat(np.arange(len(sizes)), per_text)
