@@ -1,7 +1,7 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
 Equal vectors of a label are one class with a weight. Trees are fitted on a bounded sample: each node
-splits at the median of a random projection, and vectors within ``SPILL`` of the split go to both sides.
+splits at the median of a random projection, and vectors within a margin of the split go to both sides.
 Every class is then routed through all trees; classes meet in the leaves of any tree, per label, and are
 compared there by cosine in double precision. A pair that shares several leaves is counted in the first
 of them only, which each leaf can tell from the leaf numbers its vectors carry, so link counts need no
@@ -24,8 +24,9 @@ COSINE = 0.93
 TREES = 6
 SAMPLE = 20_000  #: bound of the vectors that the trees are fitted on
 LEAF = 2_000  #: a tree splits until its leaves hold about so many classes
-SPILL = 0.06  #: margin of a split, on unit vectors; two at cosine 0.93 differ by about 0.05 along a random line in 64 dimensions
-BLOCK = 2_000
+SPILL = 0.16  #: the margin on unit vectors, times sqrt(dimensions). Two at cosine 0.93 differ by about 0.37 in that unit, so
+#: one split parts them in about 1 case of 30 (of vectors spread evenly), and goes to 13 % of the vectors twice
+BLOCK = 1_000
 GROUP_ROWS = 4_000
 
 
@@ -37,11 +38,11 @@ class ProjectionTree:
         self.splits: list[float] = []
         self.left: list[int] = []
         self.right: list[int] = []
-        self.leaves, self.spill = 0, spill
+        self.leaves, self.spill = 0, spill / np.sqrt(max(1, sample.shape[1]))
         self._grow(sample, leaf_rows, rng)
 
     def _grow(self, rows: np.ndarray, leaf_rows: float, rng: np.random.Generator) -> int:
-        if len(rows) > max(leaf_rows, 2):
+        if len(rows) > max(leaf_rows, 20):
             for _ in range(3):
                 direction = rng.standard_normal(rows.shape[1])
                 direction /= np.linalg.norm(direction)
@@ -104,10 +105,11 @@ def _classes(vectors: DataFrame, key: str, vector: str, label: str) -> tuple[Dat
     sound = values.isNotNull() & F.col("label").isNotNull() & F.coalesce(
         F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(values, lambda x: x != 0), F.lit(False)
     )
+    kind = "float" if vectors.schema[vector].dataType.elementType.simpleString() == "float" else "double"  # floats are doubles too, at half the size
     rows = vectors.select(
-        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("vector")
+        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(label).alias("label"), F.col(vector).cast(f"array<{kind}>").alias("vector")
     )
-    rows = rows.withColumn("vector", F.when(sound, F.transform("vector", lambda x: x + F.lit(0.0))))  # one zero only
+    rows = rows.withColumn("vector", F.when(sound, F.transform("vector", lambda x: x + F.lit(0.0).cast(kind))))  # one zero only
     rows = stored(rows, "vectors")
     usable = rows.where("vector is not null")
     classes = usable.groupBy("label", "vector").agg(F.min("row").alias("id"), F.count("*").alias("weight"), F.min("key").alias("least"))
@@ -119,7 +121,7 @@ def _compare(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
     """Of one leaf (or two blocks of it): per class the summed weight of its links counted here; spanning links."""
     out_id, out_links, out_a, out_b = [], [], [], []
     for (place, _label), leaf in group.groupby(["place", "label_id"], sort=False):
-        unit = _unit(np.stack(leaf["vector"].to_numpy()))
+        unit = _unit(np.stack(leaf["vector"].to_numpy()).astype(np.float64))
         ids, weight, own = leaf["id"].to_numpy(), leaf["weight"].to_numpy(np.int64), leaf["own"].to_numpy()
         linked = unit @ unit.T >= cosine
         np.fill_diagonal(linked, False)
@@ -216,7 +218,8 @@ def _links_of_length(classes: DataFrame, cosine: float, forest: list[ProjectionT
 
     source = classes.select("id", "vector", F.xxhash64("label").alias("label_id"), "weight")
     # labels are compared as 64-bit hashes within a leaf only after equal labels were grouped by value
-    routed = stored(source.mapInArrow(route, "id bigint, vector array<double>, label_id bigint, weight bigint, places array<int>"), "routed")
+    kind = classes.schema["vector"].dataType.simpleString()
+    routed = stored(source.mapInArrow(route, f"id bigint, vector {kind}, label_id bigint, weight bigint, places array<int>"), "routed")
     spread = routed.select("id", "label_id", "places", F.explode("places").alias("place"))
     sizes = stored(spread.groupBy("place", "label_id").agg(F.count("*").alias("n")).where("n > 1"), "leaf-sizes")
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
