@@ -1,108 +1,129 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Two interpolated bigram models, one of toxic and one of ordinary labelled documents, are counted with
-Spark over size-matched samples of the labelled rows. As Kneser and Ney do for lower orders, both
-count the distinct histories of a word or pair, not its occurrences, so that copied documents and
-passages add nothing. A count n is discounted by a multiple of sqrt(n), at most by n, and the freed
-mass goes to one lower order for both classes: their histories together. An expression too rare to
-say anything thus gets the same probability from both models and cancels out. The two log-likelihoods
-are compared word by word, with a margin: a factor up to ``exp(MARGIN)`` between them is put down to
-the samples' mixture of languages and subjects, which otherwise outweighs a few abusive words in a
-long text. A document's score is a logistic function of the summed difference / words ** power; slope,
-intercept and power are fitted on labelled rows that took no part in the counts.
+Spark over samples of the labelled rows. A pair counts the distinct texts that hold it, so exact copies
+and repeats inside a text add nothing; a word counts its distinct histories, as Kneser and Ney do for
+lower orders. Counts of 1, 2 and 3 or more lose an absolute discount each, estimated from the counts of
+counts by order and class, and no count is lost whole. The freed mass of a class's pairs goes to the
+pairs of both classes together, theirs to the class's words, and theirs to the histories of both
+classes together: what is too rare to tell the classes apart gets nearly the same probability from both.
+The two log-likelihoods are compared word by word, with a margin: a factor up to ``exp(margin)`` between
+them is put down to the samples' mixture of languages and subjects, which otherwise outweighs a few
+abusive words in a long text. A document's score is a logistic function of the summed difference /
+words ** power; slope, intercept, power and margin are fitted on labelled rows that took no part in the
+counts.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import product
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, bucket, letter_runs, slices, stored, table
+from .common import Batches, BoundedCache, bucket, letter_runs, ngram_hashes, slices, stored, table, worker_cache
 
 ROWS_PER_CLASS = 10_000  #: bound of the labelled sample: rows of each class that are read
-CONFIDENCE = (3.0, 6.0)  #: for words and pairs; a count below the square keeps nothing after the discount
 FOLDS, CALIBRATION_FOLD = 4, 0  #: of the learning rows, this fold fits the logistic function
 
-MARGIN = 0.7  #: differences of a word's log-probabilities up to this count as none
+MARGINS = (0.7, 1.5, 2.0, 2.5, 3.0)  #: differences of a word's log-probabilities up to one of these count as none
 
 _POWERS = (0.0, 0.25, 0.5, 0.75, 1.0)
 
 
+def _word_hashes() -> BoundedCache:
+    return worker_cache("toxicity", lambda: BoundedCache(xxhash.xxh3_64_intdigest))
+
+
+def _hashed(text: str | None) -> np.ndarray:
+    runs = letter_runs(text) if text else []
+    return np.fromiter(map(_word_hashes().__getitem__, runs), np.uint64, len(runs))
+
+
+def _places(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted hash is in the sorted ``known`` ones, and whether it is there."""
+    if not len(known):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return at, known[at] == wanted
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Log-probability ratios ready to be summed; its size is bounded by the sample and the discount."""
+    """Probabilities ready to be compared, about 50 bytes a word and 16 a pair; all words and pairs of the sample."""
 
-    words: dict[str, int]  #: 0 is any other word
-    unigram: np.ndarray  #: [2, words]: probability by class, toxic first
-    context: np.ndarray  #: [2, words]: mass a context leaves to the lower order
-    pairs: np.ndarray  #: sorted codes history * words + current
+    words: np.ndarray  #: sorted hashes; word i has place i + 1, place 0 is any other word
+    unigram: np.ndarray  #: [2, words + 1]: probability by class, toxic first
+    context: np.ndarray  #: [2, words + 1]: mass a context leaves to the lower orders
+    pairs: np.ndarray  #: sorted hashes of history and word
     pair_mass: np.ndarray  #: [2, pairs]: discounted probability
     slope: float = 1.0
     intercept: float = 0.0
     power: float = 1.0
+    margin: float = MARGINS[0]
 
-    def ratio(self, text: str | None) -> tuple[float, int]:
-        """Summed log ratio toxic : ordinary, and the number of words."""
-        runs = letter_runs(text) if text else []
-        if not runs:
-            return 0.0, 0
-        get = self.words.get
-        ids = np.fromiter((get(w, 0) for w in runs), np.int64, len(runs))
+    def differences(self, text: str | None) -> np.ndarray:
+        """Log ratio toxic : ordinary of every word."""
+        hashes = _hashed(text)
+        at, known = _places(self.words, hashes)
+        ids = np.where(known, at + 1, 0)
         p = self.unigram[:, ids]
         if len(ids) > 1:
-            before, now = ids[:-1], ids[1:]
-            tail = p[:, 1:] * self.context[:, before]
-            known = np.flatnonzero((before > 0) & (now > 0))
-            if len(known) and len(self.pairs):
-                code = before[known] * len(self.unigram[0]) + now[known]
-                at = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
-                hit = self.pairs[at] == code
-                tail[:, known[hit]] += self.pair_mass[:, at[hit]]
+            tail = p[:, 1:] * self.context[:, ids[:-1]]
+            at, hit = _places(self.pairs, ngram_hashes(hashes, 2))
+            tail[:, hit] += self.pair_mass[:, at[hit]]
             p = np.concatenate([p[:, :1], tail], axis=1)
         logs = np.log(p)
-        difference = logs[0] - logs[1]
-        return float((difference - np.clip(difference, -MARGIN, MARGIN)).sum()), len(ids)
+        return logs[0] - logs[1]
+
+    def ratio(self, text: str | None) -> tuple[float, int]:
+        """Summed log ratio toxic : ordinary beyond the margin, and the number of words."""
+        difference = self.differences(text)
+        return _beyond(difference, self.margin), len(difference)
 
     def score(self, ratio: float, n: int) -> float:
         z = self.slope * (ratio / n**self.power if n else 0.0) + self.intercept
         return 1.0 / (1.0 + math.exp(-min(max(z, -50.0), 50.0)))
 
 
+def _beyond(difference: np.ndarray, margin: float) -> float:
+    return float((difference - np.clip(difference, -margin, margin)).sum())
+
+
 def _sample(labelled: DataFrame, key: str, label: str, rows_per_class: int) -> tuple[DataFrame, float]:
-    """About as many rows of either class, picked by a hash of the key; the weight an ordinary row stands for."""
+    """Up to about ``rows_per_class`` rows of each class, picked by a hash of the key; the weight an ordinary row stands for."""
     sizes = {r[0]: r[1] for r in labelled.groupBy(label).count().collect()}  # two rows
-    toxic, ordinary = sizes.get(1, 0), sizes.get(0, 0)
-    each = max(1, min(rows_per_class, toxic, ordinary))
-    share = F.when(F.col(label) == 1, min(1.0, each / max(1, toxic))).otherwise(min(1.0, each / max(1, ordinary)))
+    toxic, ordinary = (min(1.0, rows_per_class / max(1, sizes.get(c, 0))) for c in (1, 0))
+    share = F.when(F.col(label) == 1, toxic).otherwise(ordinary)
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), F.col(key).cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.where(draw < share), (ordinary / max(1, toxic)) if toxic and ordinary else 1.0
+    return labelled.where(draw < share), toxic / ordinary if len(sizes) == 2 else 1.0
 
 
 def _count(batches: Batches):
-    """Per slice: the distinct (word before, history, word) of each class; '' stands before a document."""
+    """Per slice: the pairs (history, word) of its texts, and in how many texts of each class; 0 stands before a text."""
     for batch in slices(batches, 200):
-        seen: dict[tuple[str, str, str], int] = {}
+        found: tuple[list, list] = ([], [])
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            runs = letter_runs(text) if text else []
-            for triple in zip(["", "", *runs], ["", *runs], runs, strict=False):
-                seen[triple] = seen.get(triple, 0) | (1 << toxic)
-        columns = zip(*seen, strict=True) if seen else ((), (), ())
-        before, history, word = (pa.array(c, pa.string()) for c in columns)
-        flags = np.fromiter(seen.values(), np.int64, len(seen))
-        yield pa.RecordBatch.from_arrays(
-            [before, history, word, pa.array(flags >> 1), pa.array(flags & 1)], names=["before", "history", "word", "toxic", "ordinary"]
-        )
+            words = _hashed(text)
+            if len(words):
+                found[1 - toxic].append(np.unique(np.stack([np.append(np.uint64(0), words[:-1]), words], axis=1), axis=0))
+        for c, pairs in enumerate(found):
+            if pairs:
+                distinct, n = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
+                history, word = (pa.array(np.ascontiguousarray(distinct[:, i]).view(np.int64)) for i in (0, 1))
+                n, none = pa.array(n.astype(np.int64)), pa.array(np.zeros(len(n), np.int64))
+                yield pa.RecordBatch.from_arrays([history, word, *((none, n) if c else (n, none))], names=["history", "word", "toxic", "ordinary"])
 
 
 def fit(
     documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    rows_per_class: int = ROWS_PER_CLASS, confidence: tuple[float, float] = CONFIDENCE,
+    rows_per_class: int = ROWS_PER_CLASS,
 ) -> ToxicityModel:
     """Count and calibrate on the documents that ``labels`` covers.
 
@@ -116,65 +137,85 @@ def fit(
     fold = F.pmod(F.xxhash64(F.lit("fold"), F.col("k_").cast("string")), F.lit(FOLDS)) == CALIBRATION_FOLD
     rows = stored(rows.join(F.broadcast(picked), "k_").select("t_", "y_", fold.alias("calibrate")), "toxicity-sample")
 
-    counted = rows.where(~F.col("calibrate")).select("t_", "y_")
-    both = [F.max(c).alias(c) for c in ("toxic", "ordinary")]
-    sums = [F.sum(c).alias(c) for c in ("toxic", "ordinary")]
-    triples = counted.mapInArrow(_count, "before string, history string, word string, toxic bigint, ordinary bigint")
-    pairs = triples.groupBy("before", "history", "word").agg(*both).groupBy("history", "word").agg(*sums)
-    model = _model(stored(pairs, "toxicity-pairs"), confidence)
-    found = rows.where("calibrate").select("t_", "y_")
-    points = _ratios(found, "t_", ["y_"], model).select("y_", "ratio", "n_words").toPandas()  # within the bound of the sample
-    return _calibrated(model, points, weight)
-
-
-def _discounted(n: np.ndarray, confidence: float) -> np.ndarray:
-    return np.maximum(n - confidence * np.sqrt(n), 0.0)
-
-
-def _model(pairs: DataFrame, confidence: tuple[float, float]) -> ToxicityModel:
-    least, least_pair = (c**2 for c in confidence)  # smaller counts keep nothing
-    names = ("toxic", "ordinary")
-    by_word = pairs.groupBy("word").agg(*[F.sum((F.col(c) > 0).cast("long")).alias(c) for c in names], F.count("*").alias("histories"))
-    whole = by_word.agg(*[F.sum(c).alias(c) for c in names], F.sum("histories").alias("h"), F.count("*").alias("v")).first()
-    known = by_word.where(f"greatest(toxic, ordinary) > {least}").orderBy("word").toPandas()
-    index = {w: i + 1 for i, w in enumerate(known["word"])}
-    v = len(index) + 1
-    shared = np.full(v, 1.0 / max(1, (whole["h"] or 0) + 1))  # any other word: one history
-    shared[1:] = known["histories"].to_numpy(float) / max(1, whole["h"] or 0)
+    counted = rows.where(~F.col("calibrate")).select("t_", "y_").distinct()
+    sums = [F.sum(c).cast("int").alias(c) for c in ("toxic", "ordinary")]
+    pairs = counted.mapInArrow(_count, "history bigint, word bigint, toxic bigint, ordinary bigint").groupBy("history", "word").agg(*sums)
+    model = _model(pairs)
+    return _calibrated(model, _points(rows.where("calibrate").select("y_", "t_"), model), weight)
+
+
+def _discounted(n: np.ndarray) -> np.ndarray:
+    """Counts less the modified Kneser-Ney discounts of 1, 2 and 3 or more; a count above 0 keeps something."""
+    n1, n2, n3, n4 = np.maximum(np.bincount(np.minimum(n, 5), minlength=6)[1:5], 1).astype(float)
+    y = n1 / (n1 + 2 * n2)
+    off = np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.05, 0.05, 0.05], [0, 0.95, 1.95, 2.95])
+    return (n - off[np.minimum(n, 3)]).astype(np.float32)
+
+
+def _model(pairs: DataFrame) -> ToxicityModel:
+    """All pairs of the bounded sample, as numbers, come to the driver."""
+    held = pairs.toArrow()
+    history, word = (held.column(c).to_numpy().view(np.uint64) for c in ("history", "word"))
+    counts = [held.column(c).to_numpy() for c in ("toxic", "ordinary")]
+    del held
+    words, now = np.unique(word, return_inverse=True)
+    now = now.astype(np.int32) + 1
+    v = len(words) + 1
+    histories = np.bincount(now, minlength=v)
+    shared = np.maximum(histories, 1) / (histories.sum() + 1)  # any other word: one history
     unigram = np.empty((2, v))
-    for c, name in enumerate(names):
-        direct = _discounted(known[name].to_numpy(float), confidence[0]) / max(1, whole[name] or 0)
-        unigram[c] = (1.0 - direct.sum()) * shared
-        unigram[c, 1:] += direct
-
-    after = pairs.where("history <> ''")
-    totals = after.groupBy("history").agg(*[F.sum(c).alias(c) for c in names]).where(f"greatest(toxic, ordinary) > {least_pair}").toPandas()
-    frame = after.where(f"greatest(toxic, ordinary) > {least_pair}").toPandas()
-    frame = frame[frame["history"].isin(index) & frame["word"].isin(index)]
-    history, word = frame["history"].map(index).to_numpy(np.int64), frame["word"].map(index).to_numpy(np.int64)
-    order = np.argsort(history * v + word)
-    history, word = history[order], word[order]
-    context, pair_mass = np.ones((2, v)), np.zeros((2, len(order)))
-    at = np.array([index.get(w, 0) for w in totals["history"]], np.int64)
-    for c, name in enumerate(names):
-        total = np.zeros(v)
-        total[at] = totals[name].to_numpy(float)
-        pair_mass[c] = _discounted(frame[name].to_numpy(float)[order], confidence[1]) / np.maximum(1.0, total[history])
-        context[c] -= np.bincount(history, pair_mass[c], v)
-    context[:, 0] = 1.0
-    return ToxicityModel(index, unigram, np.maximum(context, 1e-9), history * v + word, pair_mass)
-
-
-def _calibrated(model: ToxicityModel, points, weight: float) -> ToxicityModel:
-    """Slope, intercept and power of least weighted log loss, by Newton steps with a slight ridge."""
+    for c, n in enumerate(counts):
+        distinct = np.bincount(now[n > 0], minlength=v)
+        direct = _discounted(distinct).astype(float) / max(1, distinct.sum())
+        unigram[c] = direct + (1.0 - direct.sum()) * shared
+
+    inside = history != 0
+    history, word, counts = history[inside], word[inside], [n[inside] for n in counts]
+    before = (_places(words, history)[0] + 1).astype(np.int32)  # every history is some pair's word
+    codes = ngram_hashes(np.stack([history, word], axis=1).ravel(), 2)[::2]
+    order = np.argsort(codes)
+    codes, before, counts = codes[order], before[order], [n[order] for n in counts]
+    del history, word, now, order
+
+    def interpolated(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        mass = _discounted(n) / np.maximum(1, np.bincount(before, n, v))[before].astype(np.float32)
+        return mass, np.clip(1.0 - np.bincount(before, mass, v), 1e-9, 1.0)
+
+    both, left = interpolated(counts[0] + counts[1])
+    context, pair_mass = np.ones((2, v)), np.zeros((2, len(codes)), np.float32)
+    for c, n in enumerate(counts):
+        mass, context[c] = interpolated(n)
+        pair_mass[c] = mass + context[c][before].astype(np.float32) * both
+        context[c] *= left
+    return ToxicityModel(words, unigram, context, codes, pair_mass)
+
+
+def _points(rows: DataFrame, model: ToxicityModel) -> pd.DataFrame:
+    """Class, number of words and the ratio by every margin of rows (y_, t_), within the bound of the sample."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    names = [f"ratio_{i}" for i in range(len(MARGINS))]
+
+    def run(batches: Batches):
+        for batch in slices(batches):
+            found = [shared.value.differences(t) for t in batch.column(1).to_pylist()]
+            ratios = [pa.array([_beyond(d, m) for d in found], pa.float64()) for m in MARGINS]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(d) for d in found], pa.int64()), *ratios], names=["y_", "n_words", *names])
+
+    points = rows.mapInArrow(run, ", ".join(["y_ int", "n_words bigint", *(f"{n} double" for n in names)])).toPandas()
+    shared.destroy()
+    return points
+
+
+def _calibrated(model: ToxicityModel, points: pd.DataFrame, weight: float) -> ToxicityModel:
+    """Slope, intercept, power and margin of least weighted log loss, by Newton steps with a slight ridge."""
     y, n = points["y_"].to_numpy(float), np.maximum(1, points["n_words"].to_numpy(float))
     w = np.where(y == 1, 1.0, max(1.0, weight))
     if len(y) == 0 or y.min() == y.max():
         share = min(max(1.0 / (1.0 + max(weight, 1.0)), 1e-3), 0.499)
-        return ToxicityModel(**{**model.__dict__, "slope": 0.0 if len(y) == 0 else 1.0, "intercept": math.log(share / (1 - share))})
+        return replace(model, slope=0.0 if len(y) == 0 else 1.0, intercept=math.log(share / (1 - share)))
     best = None
-    for power in _POWERS:
-        x = points["ratio"].to_numpy(float) / n**power
+    for (i, margin), power in product(enumerate(MARGINS), _POWERS):
+        x = points[f"ratio_{i}"].to_numpy(float) / n**power
         scale = x.std() or 1.0
         z, beta = np.stack([x / scale, np.ones(len(x))]), np.zeros(2)
         loss = lambda b: float((w * np.logaddexp(0, np.where(y == 1, -1, 1) * (b @ z))).sum() + 1e-3 * b[0] ** 2)  # noqa: E731, B023
@@ -190,12 +231,12 @@ def _calibrated(model: ToxicityModel, points, weight: float) -> ToxicityModel:
             if np.abs(size * step).max() < 1e-6:
                 break
         if best is None or loss(beta) < best[0]:
-            best = (loss(beta), float(beta[0] / scale), float(beta[1]), power)
-    return ToxicityModel(**{**model.__dict__, "slope": best[1], "intercept": best[2], "power": best[3]})
+            best = (loss(beta), float(beta[0] / scale), float(beta[1]), power, margin)
+    return replace(model, slope=best[1], intercept=best[2], power=best[3], margin=best[4])
 
 
 def _ratios(df: DataFrame, text: str, carry: list[str], model: ToxicityModel) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by rows_per_class and the discount
+    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by rows_per_class
 
     def run(batches: Batches):
         held = shared.value
