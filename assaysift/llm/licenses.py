@@ -1,18 +1,22 @@
 """License scans by conditional compression.
 
-Lines with a licensing word, and short gaps between such lines, form candidate blocks. Each block is
-compressed by zstandard alone and with each template as raw dictionary; the templates are ranked by how
-much they save. The best is then confirmed by its exact wording: the block and the template are compared
-word by word, and the words that name the license must all be there. Rows are scanned where they lie;
-nothing is shuffled or broadcast but the few templates.
+Lines with a licensing word, and short gaps between such lines, form candidate blocks. In a block and the
+text that follows it, every template is aligned word by word wherever the words that name its license
+occur; one is confirmed if enough of its words stand in a span that holds little else. The best span is
+taken out and the words before and after it are searched on until no template fits, so a block gives as
+many rows as it has notices. SPDX identifiers are read as they stand. A block without any is compressed
+by zstandard alone and with each template as raw dictionary, and is given the template that saves most,
+unconfirmed. Rows are scanned where they lie; nothing is shuffled or broadcast but the few templates.
 """
 
 from __future__ import annotations
 
 import difflib
 import re
+from collections import Counter
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +24,37 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import Batches, slices, table
 
 LEVEL = 9
-COVERAGE = 0.75  #: share of the block's words that must be the template's, in order
+COVERAGE = 0.75  #: share of the template's words that a span must hold in order, and of the span's that are the template's
 GAP_LINES = 2  #: so many lines without a licensing word may stand inside a block
 
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_THIRD = (
+    " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+    "from this software without specific prior written permission."
+)
+_BSD_DISCLAIMER = (
+    ' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT '
+    "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+    "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+
+def _gnu(name: str, version: str) -> tuple[str, ...]:
+    return (
+        f"This work is licensed under the GNU {name} Public License, version {version}.",
+        f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} Public License "
+        f"as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.",
+    )
+
+
 #: name -> (words that must occur, notices); fixed values: the licenses' customary wording.
 TEMPLATES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "Apache-2.0": (
@@ -48,6 +80,15 @@ TEMPLATES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
             "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
             "Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice "
             "shall be included in all copies or substantial portions of the Software.",
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+            'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, '
+            "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+            "Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice "
+            'shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY '
+            "OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+            "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+            "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR "
+            "THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
         ),
     ),
     "GPL-3.0": (
@@ -66,15 +107,14 @@ TEMPLATES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
             "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
         ),
     ),
+    "LGPL-3.0": (("gnu", "lesser", "general", "public", "3"), _gnu("Lesser General", "3")),
+    "LGPL-2.1": (("gnu", "lesser", "general", "public", "2.1"), _gnu("Lesser General", "2.1")),
+    "AGPL-3.0": (("gnu", "affero", "general", "public", "3"), _gnu("Affero General", "3")),
     "BSD-3-Clause": (
-        ("redistribution", "source", "binary"),
-        (
-            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
-            "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
-            "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
-            "the following disclaimer in the documentation and/or other materials provided with the distribution.",
-        ),
+        ("redistribution", "source", "binary", "neither", "endorse"),
+        (_BSD + _BSD_THIRD, _BSD + _BSD_THIRD + _BSD_DISCLAIMER),
     ),
+    "BSD-2-Clause": (("redistribution", "source", "binary"), (_BSD, _BSD + _BSD_DISCLAIMER)),
     "CC-BY-4.0": (
         ("cc", "by", "4.0"),
         ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License (CC BY 4.0)."),
@@ -90,6 +130,21 @@ TEMPLATES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "all-rights-reserved": (("rights", "reserved"), ("All rights reserved.", "Copyright (c) 2020 The Authors. All rights reserved.")),
 }
 
+#: name -> other words that name the license as well
+ALSO_NAMED = {
+    "CC-BY-4.0": ("creative", "commons", "attribution", "4.0"),
+    "CC-BY-SA-4.0": ("creative", "commons", "attribution-sharealike", "4.0"),
+    "CC-BY-NC-4.0": ("creative", "commons", "attribution-noncommercial", "4.0"),
+}
+#: name -> words that name a relative; a span with one is not this license
+NOT_NAMED = {
+    "GPL-3.0": {"lesser", "library", "affero"},
+    "GPL-2.0": {"lesser", "library", "affero"},
+    "BSD-2-Clause": {"endorse"},
+}
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+\-() \t]+)", re.IGNORECASE)
+_SPDX_WORD = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+\-]*")
+
 _CUE = re.compile(r"licen[sc]|copyright|redistribut|permission is|rights reserved|spdx|creative commons|©", re.IGNORECASE)
 _WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 
@@ -129,6 +184,12 @@ class Scanner:
         for name, (needed, notices) in templates.items():
             raw = zstandard.ZstdCompressionDict("\n".join(notices).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.templates.append((name, needed, [wording(n) for n in notices], zstandard.ZstdCompressor(dict_data=raw, **plain)))
+        self.notices = [
+            (name, [set(needed), *([set(ALSO_NAMED[name])] if name in ALSO_NAMED else [])], NOT_NAMED.get(name, set()), notice, Counter(notice))
+            for name, needed, notices, _ in self.templates
+            for notice in notices
+        ]
+        self.reach = 2 * max(len(n) for _, notices in templates.values() for n in notices)  # characters
 
     def ranked(self, block: str) -> list[tuple[float, int]]:
         """(share of the compressed size saved, template number), best first; ties by number."""
@@ -136,40 +197,113 @@ class Scanner:
         size = len(self.alone.compress(data))
         return sorted((((size - len(t[3].compress(data))) / size, i) for i, t in enumerate(self.templates)), key=lambda x: (-x[0], x[1]))
 
-    def confirm(self, block: str, number: int) -> tuple[bool, int, list[str], list[str]]:
-        """Whether the wording bears the template out; words in common; words only of the block; only of the notice."""
-        _, needed, notices, _ = self.templates[number]
-        words, best = wording(block), None
-        for notice in notices:
-            matcher = difflib.SequenceMatcher(None, notice, words, autojunk=False)
-            same = sum(m.size for m in matcher.get_matching_blocks())
-            if best is None or (same, -len(notice)) > best[0]:
-                extra = [w for tag, _, _, a, b in matcher.get_opcodes() if tag != "equal" for w in words[a:b]]
-                missing = [w for tag, a, b, _, _ in matcher.get_opcodes() if tag != "equal" for w in notice[a:b]]
-                best = ((same, -len(notice)), same, extra, missing)
-        _, same, extra, missing = best
-        return bool(words) and same >= COVERAGE * len(words) and set(needed) <= set(words), same, extra, missing
+    def nearest(self, block: str) -> tuple[str, float, int, str, str]:
+        """The template that saves most: name, saving, words in common, words only of the block, only of the notice."""
+        saved, i = self.ranked(block)[0]
+        words = wording(block)
+        found = [_compared(notice, words, whole=True) for notice in self.templates[i][2]]
+        same, extra, missing, _, _ = max(found, key=lambda f: (f[0], -len(f[2])))
+        return self.templates[i][0], saved, same, " ".join(extra), " ".join(missing)
+
+    def fits(self, words: list[str]) -> list[tuple]:
+        """Where in ``words`` any template fits, best first: (rank, name, same, extra, missing, first, end); all are compared.
+
+        A notice is skipped only if the words lack its name or too many of its words, whatever their order.
+        """
+        have, found = Counter(words), []
+        for name, names, others, notice, parts in self.notices:
+            naming = next((n for n in names if all(have[w] for w in n)), None)
+            if naming is None or sum(min(n, have[w]) for w, n in parts.items()) < COVERAGE * len(notice):
+                continue
+            anchor = min(sorted(naming & set(notice)) or sorted(naming), key=have.__getitem__)
+            slack = len(notice) // 4 + 2
+            starts = {j - i for j, w in enumerate(words) if w == anchor for i, v in enumerate(notice) if v == anchor}
+            for start in sorted(starts):
+                first = max(0, start - slack)
+                window = words[first : start + len(notice) + slack]
+                same, extra, missing, a, b = _compared(notice, window)
+                inside = set(window[a:b])
+                if same < COVERAGE * max(len(notice), b - a) or not any(n <= inside for n in names) or inside & others:
+                    continue
+                found.append((same - len(extra) - len(missing), name, same, extra, missing, first + a, first + b))
+        return sorted(found, key=lambda f: -f[0])
+
+    def spans(self, words: list[str], first: int = 0) -> list[tuple]:
+        """Every notice in ``words``: the best ones that do not overlap, then those between them, until none fits."""
+        todo, found = [(first, words)], []
+        while todo:
+            at, rest = todo.pop()
+            free, taken = np.ones(len(rest), bool), []
+            for _, *what, a, b in self.fits(rest):
+                if free[a:b].all():
+                    free[a:b] = False
+                    taken.append((a, b))
+                    found.append((*what, at + a, at + b))
+            ends = [0, *(x for span in sorted(taken) for x in span), len(rest)]
+            todo += [(at + a, rest[a:b]) for a, b in zip(ends[::2], ends[1::2], strict=True) if taken and b > a]
+        return sorted(found, key=lambda f: f[4])
 
     def scan(self, text: str | None) -> list[tuple]:
+        blocks = candidate_blocks(text) if text else []
+        regions: list[list[int]] = []  # blocks with the text that follows them, joined where they meet
+        for offset, block in blocks:
+            if regions and offset <= regions[-1][1]:
+                regions[-1][1] = offset + len(block) + self.reach
+            else:
+                regions.append([offset, offset + len(block) + self.reach])
+        spans = []  # (first character, end, license, saving, same, extra, missing)
+        for begin, end in regions:
+            marks = [(m.start() + begin, m.end() + begin, m.group()) for m in _WORD.finditer(text[begin:end].lower())]
+            for name, same, extra, missing, a, b in self.spans([m[2] for m in marks]):
+                piece = text[marks[a][0] : marks[b - 1][1]]
+                saved = next(saved for saved, i in self.ranked(piece) if self.templates[i][0] == name)
+                spans.append((marks[a][0], marks[b - 1][1], name, saved, same, " ".join(extra), " ".join(missing)))
+        for offset, block in blocks:
+            for m in _SPDX.finditer(block):
+                for word in _SPDX_WORD.finditer(m.group(1).split("\n")[0]):
+                    if word.group().upper() not in ("AND", "OR", "WITH"):
+                        spans.append((offset + m.start(1) + word.start(), offset + m.start(1) + word.end(), word.group(), 0.0, 1, "", ""))
         found = []
-        for offset, block in candidate_blocks(text) if text else []:
-            order = self.ranked(block)
-            # the saving ranks; wording decides, and among templates of nearly one wording it picks the right one
-            checked = [(self.confirm(block, i), saved, i) for saved, i in order[:3]]
-            confirmed = [c for c in checked if c[0][0]]
-            (ok, same, extra, missing), saved, i = min(confirmed, key=lambda c: len(c[0][2]) + len(c[0][3])) if confirmed else checked[0]
-            found.append((offset, len(block), self.templates[i][0], saved, ok, same, " ".join(extra), " ".join(missing)))
+        for k, (offset, block) in enumerate(blocks):
+            until = blocks[k + 1][0] if k + 1 < len(blocks) else len(text) + 1
+            own = [s for s in sorted(spans) if offset <= s[0] < until]
+            for a, b, name, saved, same, extra, missing in own:
+                found.append((offset, len(block), name, saved, True, same, extra, missing, a, b - a))
+            if not own and not any(s[0] < offset + len(block) and s[1] > offset for s in spans):
+                name, saved, same, extra, missing = self.nearest(block)
+                found.append((offset, len(block), name, saved, False, same, extra, missing, offset, len(block)))
         return found
 
 
+def _compared(notice: list[str], words: list[str], whole: bool = False) -> tuple[int, list[str], list[str], int, int]:
+    """Words in common in order, other words of the span, words missing from it, and the span's ends.
+
+    The span is all words if ``whole``; else it ends with the matches, and a match at either end that is
+    shorter than the gap to the next one is chance and left out.
+    """
+    matches = [m for m in difflib.SequenceMatcher(None, notice, words, autojunk=False).get_matching_blocks() if m.size]
+    while not whole and len(matches) > 1 and matches[0].size < matches[1].b - matches[0].b - matches[0].size:
+        matches.pop(0)
+    while not whole and len(matches) > 1 and matches[-1].size < matches[-1].b - matches[-2].b - matches[-2].size:
+        matches.pop()
+    if not matches:
+        return 0, words, notice, 0, len(words)
+    a, b = (0, len(words)) if whole else (matches[0].b, matches[-1].b + matches[-1].size)
+    theirs = {i for m in matches for i in range(m.b, m.b + m.size)}
+    ours = {i for m in matches for i in range(m.a, m.a + m.size)}
+    extra = [words[i] for i in range(a, b) if i not in theirs]
+    return sum(m.size for m in matches), extra, [w for i, w in enumerate(notice) if i not in ours], a, b
+
+
 @lru_cache(maxsize=1)
 def _scanner() -> Scanner:
     return Scanner(TEMPLATES)
 
 
 def scan_licenses(documents: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per candidate block: key, start and length in characters, license, saving, confirmed,
-    n_same words, and the wording differences ``extra`` and ``missing``.
+    """One row per notice: key, start and length of its candidate block in characters, license, saving,
+    confirmed, n_same words, the wording differences ``extra`` and ``missing``, and the notice's own
+    ``span_start`` and ``span_length``, which may pass the block's end. A block without a notice has one row.
 
     Whole texts are read. Null and empty texts have no blocks; repeated rows and null keys are scanned
     like any other; other columns are left out. ``confirmed`` false means: the nearest template only.
@@ -179,18 +313,18 @@ def scan_licenses(documents: DataFrame, *, key: str = "doc_id", text: str = "tex
         scanner = _scanner()
         for batch in slices(batches):
             rows = [(i, *hit) for i, t in enumerate(batch.column(1).to_pylist()) for hit in scanner.scan(t)]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 9
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.bool_(), pa.int64(), pa.string(), pa.string()]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 11
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.bool_(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
             arrays = [pa.array(c, k) for c, k in zip(columns[1:], kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(columns[0], pa.int64())), *arrays], names=[key, *_COLUMNS])
 
     kind = documents.schema[key].dataType.simpleString()
     return documents.select(key, text).mapInArrow(
-        run, f"`{key}` {kind}, start bigint, length bigint, license string, saving double, confirmed boolean, n_same bigint, extra string, missing string"
+        run, f"`{key}` {kind}, start bigint, length bigint, license string, saving double, confirmed boolean, n_same bigint, extra string, missing string, span_start bigint, span_length bigint"
     )
 
 
-_COLUMNS = ("start", "length", "license", "saving", "confirmed", "n_same", "extra", "missing")
+_COLUMNS = ("start", "length", "license", "saving", "confirmed", "n_same", "extra", "missing", "span_start", "span_length")
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
