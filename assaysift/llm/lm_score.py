@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import BoundedCache, ngram_hashes, parts_for, table, worker_cache
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 BLOCK_CHARS = 6_000_000  #: a block of texts, its words and their n-grams are in one task at a time
 BUCKET_CHARS = 16_000_000  #: about so many characters of the corpus per bucket of the count table
