@@ -150,15 +150,20 @@ def identify(documents: DataFrame, model: LanguageModel, *, key: str = "doc_id",
 
 
 def keep_languages(documents: DataFrame, model: LanguageModel, *, languages: tuple[str, ...] | None = None) -> DataFrame:
-    """Pipeline stage: the rows whose text is in one of ``languages`` (all learned ones), all columns kept; ``und`` goes."""
+    """Pipeline stage: the rows whose text is in one of ``languages`` (all learned ones), all columns kept; ``und`` goes.
+
+    Where no language was learned and none is asked for, nothing can be told: every text with a letter stays.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(model)
     wanted = frozenset(model.languages if languages is None else languages)
+    untold = not model.languages and languages is None
 
     def run(batches: Batches):
         cache = _cache(shared)
         for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([shared.value.predict(t, cache)[0] in wanted for t in texts], pa.bool_()))
+            keep = [bool(t and letter_runs(t)) if untold else shared.value.predict(t, cache)[0] in wanted for t in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
 
