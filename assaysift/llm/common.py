@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,20 @@ def slices(batches: Batches, rows: int = 500) -> Batches:
             yield batch.slice(at, rows)
 
 
+def byte_slices(batches: Batches, column: int = 0, size: int = 2_000_000, rows: int = 2_000) -> Batches:
+    """The batches in pieces of at most ``rows`` rows and about ``size`` bytes of text in ``column``; a longer text is a piece of its own."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        start = held = 0
+        for at, n in enumerate(lengths.tolist()):
+            if at > start and (held + n > size or at - start >= rows):
+                yield batch.slice(start, at - start)
+                start, held = at, 0
+            held += n
+        if batch.num_rows > start:
+            yield batch.slice(start)
+
+
 def letter_runs(text: str) -> list[str]:
     """Lower-cased maximal runs of letters."""
     return _LETTERS.findall(text.lower())

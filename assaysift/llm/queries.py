@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import decontaminate, forest, language, licenses, lm_score, ngram_join, packing, tokens, toxicity, warc
+from . import alignment, boosting, codebooks, decontaminate, forest, language, licenses, lm_score, ngram_join, packing, tokens, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,9 @@ def queries() -> dict[str, Query]:
         "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
         "op9_warc": warc.op9_warc,
         "op10_embedding_near_dedup": forest.op10_embedding_near_dedup,
+        "op11_cross_tokenizer_alignment": alignment.op11_cross_tokenizer_alignment,
+        "op12_quality_classifier": boosting.op12_quality_classifier,
+        "op13_vector_code_compression": codebooks.op13_vector_code_compression,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -35,4 +38,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_benchmark_decontamination": decontaminate.ORACLE_SQL,
         "op9_warc": warc.ORACLE_SQL,
         "op10_embedding_near_dedup": forest.ORACLE_SQL,
+        "op13_vector_code_compression": codebooks.ORACLE_SQL,
     }
