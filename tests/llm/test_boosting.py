@@ -22,7 +22,7 @@ def test_flat_traversal_equals_walking_each_tree():
     rng = np.random.default_rng(0)
     rows = np.round(rng.standard_normal((1_500, 6)), 1)
     y = (rows[:, 0] * rows[:, 1] + rows[:, 2] > 0).astype(float)
-    trees = boosting.grow(rows, y, np.ones(len(y)), trees=30, depth=3)
+    trees = boosting.grow(rows, y, np.ones(len(y)), trees=100, depth=3)
     assert np.allclose(trees.raw(rows), [descend(trees, r) for r in rows])
     assert ((trees.score(rows) >= 0.5) == y).mean() > 0.9
 
