@@ -17,8 +17,8 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from array import array
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -26,13 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, byte_slices, stored, table, worker_cache
+from .common import Batches, BoundedCache, byte_slices, stored, table, worker_cache
 
 BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 HOT_PAIRS = 500_000  #: a pair of more than 1 / HOT_PAIRS of all links is broadcast, so no more than these are
-MEMO_WINDOWS, MEMO_TOKENS = 300_000, 4_000_000  #: what a worker remembers before it starts afresh
+MEMO_WINDOWS, MEMO_TOKENS, MEMO_WORDS = 200_000, 4_000_000, 150_000  #: what a worker remembers before it starts afresh
 
 _ID_BITS = 20  #: ids of both vocabularies are below 2 ** 20
+# The byte-level pre-tokenizer's pattern, for letters, digits and white space that every regex library takes alike.
+_WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+")
+_UNPLAIN = re.compile(r"[^\t\n\r -~À-ÖØ-öø-ÿ]")
 _BETWEEN = b"\xff\xff\xff\xff"  # no id; parts the two sides of a window
 
 
@@ -59,14 +62,36 @@ class ByteSide:
         self.library.no_truncation()
         self.library.no_padding()
         byte = _byte_alphabet()
-        plain = {entry["content"] for entry in json.loads(open(path, encoding="utf-8").read()).get("added_tokens", [])}
+        settings = json.loads(open(path, encoding="utf-8").read())
+        plain = {entry["content"] for entry in settings.get("added_tokens", [])}
+        steps = settings.get("pre_tokenizer") or {}
+        self.by_word = (steps.get("type"), steps.get("use_regex"), steps.get("add_prefix_space"), settings.get("normalizer")) == ("ByteLevel", True, False, None)
         vocabulary = self.library.get_vocab()
         self.bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
         for entry, number in vocabulary.items():
             self.bytes[number] = entry.encode() if entry in plain else bytes(byte[letter] for letter in entry)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        self.letters = {b: letter for letter, b in byte.items()}
+        self.words = BoundedCache(self._word, MEMO_WORDS)
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one word as the pre-tokenizer cuts them, checked against its bytes."""
+        data = word.encode()
+        ids = [t.id for t in self.library.model.tokenize(data.decode("latin-1").translate(self.letters))]
+        if b"".join(map(self.bytes.__getitem__, ids)) != data:
+            raise ValueError(f"the vocabulary does not spell {word!r}")
+        return np.array(ids, "<u4").tobytes()
+
+    def encode(self, text: str) -> np.ndarray | None:
+        """Ids of a space and the text; None where they don't give its bytes back.
+
+        Words of texts in plain letters are tokenised once; other texts go to the library whole.
+        """
+        spaced = " " + text
+        if self.by_word and _UNPLAIN.search(text) is None:
+            return np.frombuffer(b"".join(map(self.words.__getitem__, _WORDS.findall(spaced))), "<u4")
+        ids = self.library.encode_batch_fast([spaced], add_special_tokens=False)[0].ids
+        return np.array(ids, "<u4") if b"".join(map(self.bytes.__getitem__, ids)) == spaced.encode() else None
 
 
 class PieceSide:
@@ -82,8 +107,10 @@ class PieceSide:
             byte = self.library.is_byte(number)
             self.bytes.append(bytes([int(piece[1:-1], 16)]) if byte else piece.replace("▁", " ").encode())
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.library.encode(texts, num_threads=1)
+    def encode(self, text: str) -> np.ndarray | None:
+        """Ids of the text with its space; None where they don't give its bytes back."""
+        ids = self.library.encode(text)
+        return np.array(ids, "<u4") if b"".join(map(self.bytes.__getitem__, ids)) == b" " + text.encode() else None
 
 
 class WindowMemo:
@@ -166,14 +193,11 @@ class Aligner:
         self.spaced = [np.array([x[:1] == b" " for x in side.bytes], bool) for side in (self.a, self.b)]
         self.memo = WindowMemo(*self.lengths)
 
-    def _tokens(self, texts: list[str | None]) -> tuple[list[int], list[list[int]], list[list[int]]]:
+    def _tokens(self, texts: list[str | None]) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
         """Places of the texts that both tokenizers give back byte for byte, and their ids."""
-        some = [i for i, t in enumerate(texts) if t]
-        found = [texts[i] for i in some]
         kept, a_ids, b_ids = [], [], []
-        for i, text, a, b in zip(some, found, self.a.encode(found), self.b.encode(found), strict=True) if found else ():
-            wanted = b" " + text.encode()
-            if b"".join(map(self.a.bytes.__getitem__, a)) == wanted == b"".join(map(self.b.bytes.__getitem__, b)):
+        for i, text in enumerate(texts):
+            if text and (b := self.b.encode(text)) is not None and (a := self.a.encode(text)) is not None:
                 kept.append(i)
                 a_ids.append(a)
                 b_ids.append(b)
@@ -193,7 +217,7 @@ class Aligner:
             return out | {"link_a": empty, "link_b": empty, "link_n": empty.astype(np.int64)}
         place = np.array(kept)
         out["n_a"][place], out["n_b"][place] = [len(x) for x in a_ids], [len(x) for x in b_ids]
-        a, b = (np.fromiter(chain.from_iterable(ids), "<u4", sum(map(len, ids))) for ids in (a_ids, b_ids))
+        a, b = np.concatenate(a_ids), np.concatenate(b_ids)
         del a_ids, b_ids
         a_starts, b_starts = (np.cumsum(n := lengths[x]) - n for lengths, x in zip(self.lengths, (a, b), strict=True))
         anchors = np.intersect1d(a_starts[self.spaced[0][a]], b_starts[self.spaced[1][b]], assume_unique=True)
@@ -253,7 +277,7 @@ def align(
 
     def run(batches: Batches):
         aligner = _aligner(byte_tokenizer, piece_tokenizer)
-        for batch in byte_slices(batches, 1):
+        for batch in byte_slices(batches, 1, 1_000_000):
             found = aligner.align(batch.column(1).to_pylist())
             offsets = pa.array(found["offsets"])
             pairs = [pa.ListArray.from_arrays(offsets, pa.array(found[n])) for n in _PAIRS]

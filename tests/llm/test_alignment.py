@@ -2,6 +2,7 @@ import hashlib
 from bisect import bisect_left
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from assaysift.llm import alignment
@@ -14,7 +15,8 @@ def brute(texts):
     for text in texts:
         groups, a, b = [], [], []
         if text:
-            a, b = a_side.encode([text])[0], b_side.encode([text])[0]
+            a = a_side.library.encode(" " + text, add_special_tokens=False).ids
+            b = b_side.library.encode(text)
             if not b"".join(a_side.bytes[i] for i in a) == b" " + text.encode() == b"".join(b_side.bytes[i] for i in b):
                 a, b = [], []
         ends = []
@@ -80,3 +82,14 @@ def test_long_text_and_empty_table(spark):
     got = alignment.link_counts(spark.createDataFrame([(1, long)], "doc_id bigint, text string")).collect()
     assert tuple(got[0])[1:] == brute([long])[0]
     assert alignment.link_counts(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+def test_words_are_tokenised_like_whole_texts():
+    side = alignment.ByteSide(alignment._path(alignment.BYTE_TOKENIZER))
+    assert side.by_word
+    pieces = ["it's", "I'LL", "don't", "  ", "\n\n", "\t \r\n", "a1b22", "--!!", "'", "''s", "é", "Übergröße", "x'd'ye", "3.14", "<|endoftext|>", " ", "$%_", "`~", "\r"]
+    rng = np.random.default_rng(0)
+    for _ in range(400):
+        text = "".join(rng.choice(pieces, int(rng.integers(1, 12))))
+        assert side.encode(text).tolist() == side.library.encode(" " + text, add_special_tokens=False).ids, text
+    assert len(side.words)
