@@ -9,6 +9,10 @@ from .inputs import BASE, PADDED, RAW, raw_header_case
 CANON = {canonical: text for canonical, text in RAW.values()}
 NUMBERS = [c for c in CANON if c in FIELD_BOUNDS]
 K = "k, p, s, n, e"
+NOTE = (
+    "case n % 4 when 0 then concat('see', chr(10), 'Table ', p, chr(10), chr(10), ', \"', s, '\" below') "
+    "when 1 then concat('a, b', chr(13), chr(10), 'c ', k) when 2 then concat('\"', q, '\"') else 'plain' end"
+)
 KC = "k, p, s, n, e, copy"
 
 # Fixed values, not taken from the library: what the header checks cut off.
@@ -362,6 +366,7 @@ def oracle_sql() -> dict[str, str]:
         "UNION ALL SELECT 'top_items', i, risk_level || ' ' || paper_id || ' ' || sample_id || ' ' || field, rule_code FROM top",
         "csv_roundtrip": _with(_raw()) + f"SELECT cast(k AS bigint) AS k, cast(p AS bigint) AS p, cast(s AS bigint) AS s, cast(n AS bigint) AS n, cast(e AS bigint) AS e, "
         + ", ".join(_null_tokens(c) for c in CANON) + " FROM raw",
+        "csv_quoted_breaks": f"WITH base AS (SELECT {BASE} FROM lineitem) SELECT {K}, {NOTE} AS note, q AS quantity FROM base",
         "csv_mixed_headers": _with(_raw()) + f"SELECT {', '.join(f'cast({k} AS bigint) AS {k}' for k in K.split(', '))}, "
         + ", ".join(_null_tokens(c) for c in ("paper_id", "BET_m2_g")) + ", CASE WHEN p % 3 = 2 THEN concat('x', p) END AS extra FROM raw",
         "txt_roundtrip": _with(_raw()) + f"SELECT {', '.join(f'cast({k} AS bigint) AS {k}' for k in K.split(', '))}, "

@@ -19,7 +19,7 @@ from assaysift.sources.scratch import materialise, scratch_folder
 from assaysift.sources.tables import read_table
 from assaysift.sources.vocab import Bounds, RuleSet
 
-from .inputs import COPY_KEYS, KEYS, RAW, header_catalogue, raw_cells, raw_extract, raw_extract_copies, table
+from .inputs import BASE_COLUMNS, COPY_KEYS, KEYS, RAW, header_catalogue, raw_cells, raw_extract, raw_extract_copies, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _PLANS: dict[tuple[str, ...], headers.HeaderPlan] = {}
@@ -302,6 +302,20 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(*[F.col(k).cast("bigint").alias(k) for k in KEYS], *[column(h).alias(c) for h, (c, _) in RAW.items()])
 
 
+NOTE = (
+    "case n % 4 when 0 then concat('see\\nTable ', p, '\\n\\n, \"', s, '\" below') when 1 then concat('a, b\\r\\nc ', k) "
+    "when 2 then concat('\"', q, '\"') else 'plain' end"
+)
+
+
+def _csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with line breaks, separators and quotes: records are cut from splits of the files."""
+    path = _fresh(spark, "csv")
+    base = table(spark, sf_dir, "lineitem").selectExpr(*BASE_COLUMNS)
+    sinks.write_table(base.select(*KEYS, F.expr(NOTE).alias("note"), F.col("q").alias("quantity")), path, "csv")
+    return _numbers(read_table(spark, path), "note", F.col("quantity").cast("int").alias("quantity"))
+
+
 def _csv_row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _fresh(spark, "csv")
     sinks.write_table(raw_extract(spark, sf_dir), path, "csv")
@@ -376,6 +390,7 @@ def queries() -> dict[str, Query]:
         "report_rows": _report_rows,
         "csv_roundtrip": _csv_roundtrip,
         "csv_mixed_headers": _csv_mixed_headers,
+        "csv_quoted_breaks": _csv_quoted_breaks,
         "txt_roundtrip": _txt_roundtrip,
         "flags_sink": _flags_sink,
         "correction_sink": _correction_sink,
