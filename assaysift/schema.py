@@ -34,6 +34,8 @@ FLAG_EXTRAS = ("rule_code", "value_num", "flag_seq")
 SEQ_RECOMMENDED = 1000
 SEQ_ENGINEERING = 2000
 SEQ_DUPLICATE = 3000
+SEQ_OUTLIER = 4000
+SEQ_UNIT = 5000
 
 FLAG = T.StructType(
     [T.StructField("row_index", T.LongType())]

@@ -115,6 +115,71 @@ def _log() -> str:
     return "log AS (" + " UNION ALL ".join(parts) + ")"
 
 
+def _outliers() -> str:
+    """Medians and deviations by the ranks of all values."""
+    norm_paper = NORM.format(c="paper_id")
+    ids = ", ".join(f"CASE WHEN {MISSING.format(c=c)} THEN '' ELSE {c} END AS {c}" for c in ("paper_id", "sample_id"))
+    cells = " UNION ALL ".join(
+        f"SELECT {K}, {norm_paper} AS paper_key, {ids}, {i} AS field_pos, "
+        f"'{f}' AS field, \"{f}\" AS v FROM norm"
+        for i, f in ((FIELDS.index(f), f) for f in NUMBERS)
+    )
+    middle = lambda v: f"(min({v}) FILTER (r = (sz - 1) // 2) + min({v}) FILTER (r = sz // 2)) / 2.0::double"
+    return (
+        f"cells AS (SELECT * FROM ({cells}) WHERE paper_key <> '' AND v IS NOT NULL), "
+        "ranked AS (SELECT *, row_number() OVER (PARTITION BY paper_key, field ORDER BY v) - 1 AS r, count(*) OVER (PARTITION BY paper_key, field) AS sz FROM cells), "
+        f"medians AS (SELECT paper_key, field, sz, {middle('v')} AS median FROM ranked GROUP BY paper_key, field, sz HAVING sz >= 5), "
+        "apart AS (SELECT cells.*, sz, abs(v - median) AS apart FROM cells JOIN medians USING (paper_key, field)), "
+        "ranked_apart AS (SELECT paper_key, field, sz, apart, row_number() OVER (PARTITION BY paper_key, field ORDER BY apart) - 1 AS r FROM apart), "
+        f"spreads AS (SELECT paper_key, field, {middle('apart')} AS spread FROM ranked_apart GROUP BY paper_key, field, sz)"
+    )
+
+
+# Units in the texts of the tables: dimension over m, kg, s, A, K, mol and the power of ten of one unit.
+UNITS = {
+    "m2/g": ("2 -1 0 0 0 0", 3.0), "cm2/g": ("2 -1 0 0 0 0", -1.0), "°c": ("0 0 0 0 1 0", 0.0), "k": ("0 0 0 0 1 0", 0.0), "å": ("1 0 0 0 0 0", -10.0),
+    "nm": ("1 0 0 0 0 0", -9.0), "at%": ("0 0 0 0 0 0", -2.0), "%": ("0 0 0 0 0 0", -2.0), "cm3/g": ("3 -1 0 0 0 0", -3.0), "g/m2": ("-2 1 0 0 0 0", -3.0),
+    "mg/cm2": ("-2 1 0 0 0 0", -2.0), "mg cm-2": ("-2 1 0 0 0 0", -2.0), "mah/g": ("0 -1 1 1 0 0", 3.556302501), "ah/g": ("0 -1 1 1 0 0", 6.556302501),
+    "f g-1": ("-2 -2 4 2 0 0", 3.0), "f/g": ("-2 -2 4 2 0 0", 3.0), "ma g-1": ("0 -1 0 1 0 0", 0.0), "a/g": ("0 -1 0 1 0 0", 3.0),
+    "c g^-1": ("0 -1 1 1 0 0", 3.0), "m2 g-1": ("2 -1 0 0 0 0", 3.0), "m2/cm3": ("-1 0 0 0 0 0", 6.0), "bits/g": (None, None),
+}
+FITTING = {
+    "carbonization_temperature_C": "0 0 0 0 1 0", "BET_m2_g": "2 -1 0 0 0 0", "d002_nm": "1 0 0 0 0 0", "ID_IG": "0 0 0 0 0 0", "XPS_N_at_pct": "0 0 0 0 0 0",
+    "XPS_O_at_pct": "0 0 0 0 0 0", "pore_volume_cm3_g": "3 -1 0 0 0 0", "mass_loading_mg_cm2": "-2 1 0 0 0 0", "ICE_pct": "0 0 0 0 0 0",
+    "capacity_mAh_g": "0 -1 1 1 0 0", "capacitance_F_g": "-2 -2 4 2 0 0", "current_density_A_g": "0 -1 0 1 0 0",
+}
+FIELDS = (
+    "carbonization_temperature_C", "BET_m2_g", "d002_nm", "ID_IG", "XPS_N_at_pct", "XPS_O_at_pct", "pore_volume_cm3_g", "micropore_volume_cm3_g",
+    "mass_loading_mg_cm2", "electrode_thickness_um", "compacted_density_g_cm3", "ICE_pct", "capacity_mAh_g", "capacitance_F_g", "current_density_A_g",
+)
+
+
+def _unit_cells() -> str:
+    """Cells with their unit: what is left of the folded text behind its leading amounts."""
+    misfit = {
+        "capacity_mAh_g": "case when p % 7 = 0 then concat(q, ' F/g') when p % 11 = 0 then concat(q, ' bits/g') when p % 13 = 0 then concat(q, ' C g^-1') "
+        'else "capacity_mAh_g" end',
+        "BET_m2_g": "case when s % 7 = 0 then concat(q, '±', n, ' m²·g⁻1') when s % 9 = 0 then concat(q, ' m2/cm3') else \"BET_m2_g\" end",
+        "ID_IG": "case when n = 3 then concat(\"ID_IG\", ' nm') else \"ID_IG\" end",
+    }
+    columns = ", ".join(f'{text} AS "{c}"' for c, text in CANON.items())
+    cells = " UNION ALL ".join(
+        f"SELECT {K}, CASE WHEN {MISSING.format(c='paper_id')} THEN '' ELSE paper_id END AS paper_id, "
+        f"CASE WHEN {MISSING.format(c='sample_id')} THEN '' ELSE sample_id END AS sample_id, {FIELDS.index(f)} AS field_pos, '{f}' AS field, "
+        f"'{FITTING[f]}' AS expected, {misfit.get(f, chr(34) + f + chr(34))} AS value FROM raw"
+        for f in FITTING
+    )
+    folded = TEXT.format(c="value")
+    unit = rf"trim(regexp_replace({folded}, '^[-+]?[0-9][0-9.,]*(±[0-9]+)?', ''))"
+    unit = f"CASE WHEN {unit} = 'c' THEN '°c' WHEN {unit} = 'a' AND field = 'd002_nm' THEN 'å' ELSE {unit} END"
+    known = ", ".join(f"('{u}', {'NULL' if d is None else repr(d)}, {'NULL' if x is None else x}::double)" for u, (d, x) in UNITS.items())
+    return (
+        f"base AS (SELECT {BASE} FROM lineitem), padded AS (SELECT *, {PADDED} FROM base), raw AS (SELECT {K}, q, {columns} FROM padded), "
+        f"cells AS (SELECT *, {unit} AS unit FROM ({cells}) WHERE regexp_matches(value, '[0-9]')), "
+        f"known(unit, dimension, log_factor) AS (VALUES {known})"
+    )
+
+
 def _bound_case(field: str) -> str:
     b = FIELD_BOUNDS[field]
     arms = []
@@ -367,6 +432,16 @@ def oracle_sql() -> dict[str, str]:
         "csv_roundtrip": _with(_raw()) + f"SELECT cast(k AS bigint) AS k, cast(p AS bigint) AS p, cast(s AS bigint) AS s, cast(n AS bigint) AS n, cast(e AS bigint) AS e, "
         + ", ".join(_null_tokens(c) for c in CANON) + " FROM raw",
         "csv_quoted_breaks": f"WITH base AS (SELECT {BASE} FROM lineitem) SELECT {K}, {NOTE} AS note, q AS quantity FROM base",
+        "paper_outliers": _with(_clean(), _outliers())
+        + f"SELECT {K}, paper_id, sample_id, field, 'P1' AS risk_level, 'paper_outlier' AS rule_code, v AS value_num, 4000 + field_pos AS flag_seq, "
+        + f"cast(v AS varchar) AS value FROM apart JOIN spreads USING (paper_key, field) WHERE spread > 0 AND apart > spread * 1.4826::double * 3.5::double",
+        "unit_fit_flags": _with(_unit_cells())
+        + f"SELECT {K}, paper_id, sample_id, field, CASE WHEN dimension IS NULL THEN 'P2' ELSE 'P1' END AS risk_level, "
+        + "CASE WHEN dimension IS NULL THEN 'unit_unread' ELSE 'unit_mismatch' END AS rule_code, NULL::double AS value_num, 5000 + field_pos AS flag_seq, value "
+        + "FROM cells LEFT JOIN known USING (unit) WHERE unit <> '' AND (dimension IS NULL OR dimension <> expected)",
+        "unit_dimensions": _with(_unit_cells())
+        + "SELECT field_pos, unit, count(*) AS n, dimension, log_factor, dimension = expected AS fits FROM cells LEFT JOIN known USING (unit) "
+        + "WHERE unit <> '' GROUP BY ALL",
         "csv_mixed_headers": _with(_raw()) + f"SELECT {', '.join(f'cast({k} AS bigint) AS {k}' for k in K.split(', '))}, "
         + ", ".join(_null_tokens(c) for c in ("paper_id", "BET_m2_g")) + ", CASE WHEN p % 3 = 2 THEN concat('x', p) END AS extra FROM raw",
         "txt_roundtrip": _with(_raw()) + f"SELECT {', '.join(f'cast({k} AS bigint) AS {k}' for k in K.split(', '))}, "

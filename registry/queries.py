@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from assaysift.functions import headers as header_functions
 from assaysift.functions.text import column, fmt6g
 from assaysift.functions.units import NUMERIC_FIELDS, normalize_value, parse_number, unit_text
-from assaysift.operators import audit, duplicates, headers, units, validate
+from assaysift.operators import audit, duplicates, headers, outliers, unit_fit, units, validate
 from assaysift.plans import report
 from assaysift.schema import SEQ_DUPLICATE
 from assaysift.sources import sinks
@@ -19,7 +19,7 @@ from assaysift.sources.scratch import materialise, scratch_folder
 from assaysift.sources.tables import read_table
 from assaysift.sources.vocab import Bounds, RuleSet
 
-from .inputs import BASE_COLUMNS, COPY_KEYS, KEYS, RAW, header_catalogue, raw_cells, raw_extract, raw_extract_copies, table
+from .inputs import BASE_COLUMNS, COPY_KEYS, KEYS, PADDED, RAW, header_catalogue, raw_cells, raw_extract, raw_extract_copies, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _PLANS: dict[tuple[str, ...], headers.HeaderPlan] = {}
@@ -155,6 +155,34 @@ def _review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.ranked_review_queue(materialise(_flag_view(flags(spark, sf_dir)), "flags"), KEYS)
 
 
+def _paper_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flag_view(outliers.paper_outliers(materialise(cleaned(spark, sf_dir), "cleaned"), KEYS), KEYS, "value")
+
+
+# Units that don't fit or are none, put in the place of some capacities and surface areas.
+MISFITS = {
+    "capacity_mAh_g": "case when p % 7 = 0 then concat(q, ' F/g') when p % 11 = 0 then concat(q, ' bits/g') when p % 13 = 0 then concat(q, ' C g^-1') "
+    "else capacity_mAh_g end",
+    "BET_m2_g": "case when s % 7 = 0 then concat(q, '±', n, ' m²·g⁻1') when s % 9 = 0 then concat(q, ' m2/cm3') else BET_m2_g end",
+    "ID_IG": "case when n = 3 then concat(ID_IG, ' nm') else ID_IG end",
+}
+
+
+def _with_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = table(spark, sf_dir, "lineitem").selectExpr(*BASE_COLUMNS).selectExpr("*", PADDED)
+    named = base.select(*KEYS, "q", *[F.expr(text).alias(c) for c, text in RAW.values()])
+    return named.select(*KEYS, *[F.expr(MISFITS.get(c, c)).alias(c) for c, _ in RAW.values()])
+
+
+def _unit_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flag_view(unit_fit.unit_flags(materialise(_with_misfits(spark, sf_dir), "misfits"), KEYS), KEYS, "value")
+
+
+def _unit_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = unit_fit.unit_table(unit_fit.cell_units(_with_misfits(spark, sf_dir), KEYS))
+    return found.select("field_pos", "unit", "n", "dimension", F.round(F.log10("factor"), 9).alias("log_factor"), (F.col("dimension") == F.col("expected")).alias("fits"))
+
+
 def _header_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return header_catalogue(spark, sf_dir).withColumn("header_text", header_functions.header_text(F.col("raw_header")))
 
@@ -358,6 +386,9 @@ def queries() -> dict[str, Query]:
         "soft_bounds": _bounds("soft"),
         "physics_flags": lambda spark, sf: _flag_view(_physics(spark, sf)),
         "physics_flags_rule_table": lambda spark, sf: validate.range_breaches_by_rule_table(cleaned(spark, sf), keys=KEYS),
+        "paper_outliers": _paper_outliers,
+        "unit_fit_flags": _unit_fit,
+        "unit_dimensions": _unit_dimensions,
         # duplicates
         "norm_keys": _norm_keys,
         "dup_sample_id": _detector(duplicates.SAMPLE),
