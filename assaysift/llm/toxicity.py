@@ -1,24 +1,32 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two interpolated bigram models, one of toxic and one of ordinary labelled documents, are counted with
-Spark over samples of the labelled rows. A pair counts the distinct texts that hold it, so exact copies
-and repeats inside a text add nothing; a word counts its distinct histories, as Kneser and Ney do for
-lower orders. Counts of 1, 2 and 3 or more lose an absolute discount each, estimated from the counts of
-counts by order and class, and no count is lost whole. The freed mass of a class's pairs goes to the
-pairs of both classes together, theirs to the class's words, and theirs to the histories of both
-classes together: what is too rare to tell the classes apart gets nearly the same probability from both.
-The two log-likelihoods are compared word by word, with a margin: a factor up to ``exp(margin)`` between
-them is put down to the samples' mixture of languages and subjects, which otherwise outweighs a few
-abusive words in a long text. A document's score is a logistic function of the summed difference /
-words ** power; slope, intercept, power and margin are fitted on labelled rows that took no part in the
-counts.
+Two interpolated models, one of toxic and one of ordinary labelled documents, are counted with Spark
+over samples of the labelled rows, at three depths: pairs of words, words, and the letters of words. A
+pair counts the distinct texts that hold it, so exact copies and repeats inside a text add nothing; a
+word counts its distinct histories, and a run of letters the distinct words it is in, shorter runs their
+distinct beginnings, as Kneser and Ney do for lower orders. Counts of 1, 2 and 3 or more lose an absolute
+discount each, estimated from the counts of counts by order and class, and no count is lost whole; a
+constant in the denominator keeps contexts that were seen a few times from saying much.
+
+What the discounts free goes to the counts of both classes together, so that an expression too rare to
+tell the classes apart gets nearly the same probability from both. But the shared counts are weighed by
+the class's odds for the depth below: a word known to one class keeps its weight in whatever pair it
+comes, and a new word that is spelled like a class's words gets that class's odds. The weights are scaled
+so that the probabilities after each history still add up to one.
+
+The two log-likelihoods are compared word by word, and a word counts as far as its ratio toxic : ordinary
+is beyond a margin: that a text is ordinary otherwise doesn't speak against the abuse in it, and the noise of
+rare words would add up over a long text. A document's score is a logistic function of the sum /
+words ** power; slope, intercept, power and margin are fitted on labelled rows that took no
+part in the counts.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass, replace
-from itertools import product
+from itertools import chain, product
 
 import numpy as np
 import pandas as pd
@@ -27,18 +35,22 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, BoundedCache, bucket, letter_runs, ngram_hashes, slices, stored, table, worker_cache
+from .common import Batches, BoundedCache, bucket, byte_slices, letter_runs, ngram_hashes, slices, stored, table, worker_cache
 
 ROWS_PER_CLASS = 10_000  #: bound of the labelled sample: rows of each class that are read
 FOLDS, CALIBRATION_FOLD = 4, 0  #: of the learning rows, this fold fits the logistic function
 
-MARGINS = (0.7, 1.5, 2.0, 2.5, 3.0)  #: differences of a word's log-probabilities up to one of these count as none
+MARGINS = (0.7, 1.0, 1.5, 2.0, 2.5, 3.0)  #: a word's log ratio up to one of these counts as none
 
-_POWERS = (0.0, 0.25, 0.5, 0.75, 1.0)
+_POWERS = (0.5, 0.75, 1.0)
+_LETTERS, _LETTER_BITS = 5, 12  #: letters in a run, and the bits of one, so that a run is one number
+# What is added to the number of letters or words seen after a context, so that a few say little.
+_LETTER_CAUTION, _PAIR_CAUTION = 20.0, 10.0
+_WORDS_KEPT = 150_000  #: words of which a worker remembers what the model says
 
 
 def _word_hashes() -> BoundedCache:
-    return worker_cache("toxicity", lambda: BoundedCache(xxhash.xxh3_64_intdigest))
+    return worker_cache("toxicity", lambda: BoundedCache(xxhash.xxh3_64_intdigest, _WORDS_KEPT))
 
 
 def _hashed(text: str | None) -> np.ndarray:
@@ -46,6 +58,80 @@ def _hashed(text: str | None) -> np.ndarray:
     return np.fromiter(map(_word_hashes().__getitem__, runs), np.uint64, len(runs))
 
 
+def letter_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For every letter of the words, and the end of each, the run of letters up to it as one number; and its word.
+
+    Letters beyond the alphabets of two bytes share numbers.
+    """
+    text = "\1".join(words) + "\1" if words else ""
+    codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+    codes = np.where(codes < 4_000, codes, 2_000 + codes % 2_000)
+    ends = codes == 1
+    word = np.cumsum(ends) - ends
+    place = np.arange(len(codes)) - np.concatenate([[0], np.flatnonzero(ends) + 1])[word]
+    run = codes.copy()
+    for back in range(1, _LETTERS):
+        before = np.concatenate([np.zeros(back, np.int64), codes])[: len(codes)]
+        run |= np.where(place >= back, before, 0) << (_LETTER_BITS * back)
+    return run, word
+
+
+@dataclass(frozen=True)
+class Spelling:
+    """Odds of a class against both classes, for runs of letters of each length; a few numbers a run."""
+
+    runs: list[np.ndarray]  #: by length from 1: sorted runs
+    mass: list[np.ndarray]  #: [2, runs]: discounted probability of the last letter after the others
+    both: list[np.ndarray]  #: [runs]: the same of both classes together
+    contexts: list[np.ndarray]  #: sorted runs without their last letter
+    left: list[np.ndarray]  #: [2, contexts]: mass that a context leaves to the shared counts, scaled
+    left_both: list[np.ndarray]  #: [contexts]
+
+    def odds(self, run: np.ndarray, lengths: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """[2, letters] odds of class against both, and [letters] shared probability."""
+        shared, odds = np.full(len(run), 1.0 / 4_096), np.ones((2, len(run)))
+        for k in range(len(self.runs) if lengths is None else lengths):
+            code = run & ((1 << (_LETTER_BITS * (k + 1))) - 1)
+            at, hit = _places(self.runs[k], code)
+            where, known = _places(self.contexts[k], code >> _LETTER_BITS)
+            left_both = np.where(known, self.left_both[k][where], 1.0)
+            shared = np.where(hit, self.both[k][at], 0.0) + left_both * shared
+            left = np.where(known, self.left[k][:, where], 1.0)
+            odds = np.where(hit, self.mass[k][:, at], 0.0) / shared + left * odds
+        return odds, shared
+
+    def of_words(self, words: list[str]) -> np.ndarray:
+        """[2, words]: odds of each class, against both, of spelling a word so."""
+        run, word = letter_codes(words)
+        return np.exp(np.stack([np.bincount(word, x, len(words)) for x in np.log(self.odds(run)[0])]) if len(run) else np.zeros((2, len(words))))
+
+
+def _spelling(run: np.ndarray, counts: list[np.ndarray]) -> Spelling:
+    """From the number of words of each class that have a run of full length."""
+    out = Spelling([], [], [], [], [], [])
+    for k in range(1, _LETTERS + 1):
+        code = run & ((1 << (_LETTER_BITS * k)) - 1)
+        runs, at = np.unique(code, return_inverse=True)
+        n = [np.bincount(at, c if k == _LETTERS else c > 0, len(runs)).astype(np.int64) for c in counts]
+        contexts, of = np.unique(runs >> _LETTER_BITS, return_inverse=True)
+
+        def interpolated(c: np.ndarray, of: np.ndarray = of, size: int = len(contexts)) -> tuple[np.ndarray, np.ndarray]:
+            mass = _discounted(c) / (np.bincount(of, c, size) + _LETTER_CAUTION)[of]
+            return mass, np.clip(1.0 - np.bincount(of, mass, size), 1e-9, 1.0)
+
+        both, left_both = interpolated(n[0] + n[1])
+        lower, below = out.odds(runs, k - 1)
+        shared = both + left_both[of] * below
+        mass, left = np.empty((2, len(runs))), np.empty((2, len(contexts)))
+        for c in (0, 1):
+            mass[c], left[c] = interpolated(n[c])
+            # After a context the shared letters, weighed by the class's odds, still add up to one.
+            left[c] /= np.clip(1.0 + np.bincount(of, shared * (lower[c] - 1.0), len(contexts)), 1e-3, None)
+        for held, x in zip((out.runs, out.mass, out.both, out.contexts, out.left, out.left_both), (runs, mass, both, contexts, left, left_both), strict=True):
+            held.append(x)
+    return out
+
+
 def _places(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each wanted hash is in the sorted ``known`` ones, and whether it is there."""
     if not len(known):
@@ -59,41 +145,79 @@ class ToxicityModel:
     """Probabilities ready to be compared, about 50 bytes a word and 16 a pair; all words and pairs of the sample."""
 
     words: np.ndarray  #: sorted hashes; word i has place i + 1, place 0 is any other word
-    unigram: np.ndarray  #: [2, words + 1]: probability by class, toxic first
-    context: np.ndarray  #: [2, words + 1]: mass a context leaves to the lower orders
+    unigram: np.ndarray  #: [2, words + 1]: probability by class, toxic first; at place 0 before its spelling
+    context: np.ndarray  #: [2, words + 1]: mass a context leaves to the words
     pairs: np.ndarray  #: sorted hashes of history and word
     pair_mass: np.ndarray  #: [2, pairs]: discounted probability
+    spelling: Spelling
     slope: float = 1.0
     intercept: float = 0.0
     power: float = 1.0
     margin: float = MARGINS[0]
 
-    def differences(self, text: str | None) -> np.ndarray:
-        """Log ratio toxic : ordinary of every word."""
-        hashes = _hashed(text)
-        at, known = _places(self.words, hashes)
-        ids = np.where(known, at + 1, 0)
-        p = self.unigram[:, ids]
-        if len(ids) > 1:
-            tail = p[:, 1:] * self.context[:, ids[:-1]]
-            at, hit = _places(self.pairs, ngram_hashes(hashes, 2))
-            tail[:, hit] += self.pair_mass[:, at[hit]]
+    def differences(self, texts: list[str | None], seen: KnownWords | None = None) -> list[np.ndarray]:
+        """Log ratio toxic : ordinary of every word of each text."""
+        seen, runs = seen or KnownWords(), [letter_runs(t) if t else [] for t in texts]
+        seen.learn(self, runs)
+        return [self._difference(seen, np.fromiter(map(seen.number.__getitem__, r), np.int64, len(r))) for r in runs]
+
+    def _difference(self, seen: KnownWords, at: np.ndarray) -> np.ndarray:
+        p = seen.unigram[:, at]
+        if len(at) > 1:
+            tail = p[:, 1:] * self.context[:, seen.place[at[:-1]]]
+            where, hit = _places(self.pairs, ngram_hashes(seen.hash[at], 2))
+            tail[:, hit] += self.pair_mass[:, where[hit]]
             p = np.concatenate([p[:, :1], tail], axis=1)
         logs = np.log(p)
         return logs[0] - logs[1]
 
     def ratio(self, text: str | None) -> tuple[float, int]:
         """Summed log ratio toxic : ordinary beyond the margin, and the number of words."""
-        difference = self.differences(text)
-        return _beyond(difference, self.margin), len(difference)
+        return self.scores([text])[0][1:]
+
+    def scores(self, texts: list[str | None], seen: KnownWords | None = None) -> list[tuple[float, float, int]]:
+        """Score, summed log ratio toxic : ordinary beyond the margin, and number of words of each text."""
+        found = [(_beyond(d, self.margin), len(d)) for d in self.differences(texts, seen)]
+        return [(self.score(r, n), r, n) for r, n in found]
 
     def score(self, ratio: float, n: int) -> float:
         z = self.slope * (ratio / n**self.power if n else 0.0) + self.intercept
         return 1.0 / (1.0 + math.exp(-min(max(z, -50.0), 50.0)))
 
 
+class KnownWords:
+    """What the model says of the words a worker met; starts afresh when they are many."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.hash, self.place, self.unigram = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty((2, 0))
+
+    def learn(self, model: ToxicityModel, runs: list[list[str]]) -> None:
+        if len(self.number) > _WORDS_KEPT:
+            self.clear()
+        new = [w for w in dict.fromkeys(chain.from_iterable(runs)) if w not in self.number]
+        if not new:
+            return
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))
+        at, known = _places(model.words, hashes)
+        place = np.where(known, at + 1, 0)
+        unigram = model.unigram[:, place]
+        strange = np.flatnonzero(~known)
+        unigram[:, strange] *= model.spelling.of_words([new[i] for i in strange.tolist()])
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self.hash, self.place = np.concatenate([self.hash, hashes]), np.concatenate([self.place, place])
+        self.unigram = np.concatenate([self.unigram, unigram], axis=1)
+
+
+def _known_words(model_id: str) -> KnownWords:
+    return worker_cache(("toxicity", model_id), KnownWords)
+
+
 def _beyond(difference: np.ndarray, margin: float) -> float:
-    return float((difference - np.clip(difference, -margin, margin)).sum())
+    return float(np.maximum(difference - margin, 0.0).sum())
 
 
 def _sample(labelled: DataFrame, key: str, label: str, rows_per_class: int) -> tuple[DataFrame, float]:
@@ -121,6 +245,26 @@ def _count(batches: Batches):
                 yield pa.RecordBatch.from_arrays([history, word, *((none, n) if c else (n, none))], names=["history", "word", "toxic", "ordinary"])
 
 
+def _words(batches: Batches):
+    """The distinct words of each slice, by class."""
+    for batch in slices(batches, 200):
+        found: tuple[dict, dict] = ({}, {})
+        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            found[toxic].update(dict.fromkeys(letter_runs(text)))
+        for toxic, words in enumerate(found):
+            yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array([bool(toxic)] * len(words), pa.bool_())], names=["text", "toxic"])
+
+
+def _letter_runs_of(batches: Batches):
+    """Runs of letters of distinct words, with the number of words of each class."""
+    for batch in slices(batches, 20_000):
+        run, word = letter_codes(batch.column(0).to_pylist())
+        toxic, ordinary = batch.column(1).to_numpy(zero_copy_only=False), ~batch.column(2).to_numpy(zero_copy_only=False)
+        runs, at = np.unique(run, return_inverse=True)
+        counts = [pa.array(np.bincount(at, of[word], len(runs)).astype(np.int64)) for of in (toxic, ordinary)]
+        yield pa.RecordBatch.from_arrays([pa.array(runs), *counts], names=["run", "toxic", "ordinary"])
+
+
 def fit(
     documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic",
     rows_per_class: int = ROWS_PER_CLASS,
@@ -140,7 +284,8 @@ def fit(
     counted = rows.where(~F.col("calibrate")).select("t_", "y_").distinct()
     sums = [F.sum(c).cast("int").alias(c) for c in ("toxic", "ordinary")]
     pairs = counted.mapInArrow(_count, "history bigint, word bigint, toxic bigint, ordinary bigint").groupBy("history", "word").agg(*sums)
-    model = _model(pairs)
+    known = counted.mapInArrow(_words, "text string, toxic boolean").groupBy("text").agg(F.max("toxic").alias("toxic"), F.min("toxic").alias("only"))
+    model = _model(pairs, stored(known, "toxicity-words"))
     return _calibrated(model, _points(rows.where("calibrate").select("y_", "t_"), model), weight)
 
 
@@ -152,8 +297,12 @@ def _discounted(n: np.ndarray) -> np.ndarray:
     return (n - off[np.minimum(n, 3)]).astype(np.float32)
 
 
-def _model(pairs: DataFrame) -> ToxicityModel:
-    """All pairs of the bounded sample, as numbers, come to the driver."""
+def _model(pairs: DataFrame, known: DataFrame) -> ToxicityModel:
+    """All pairs and runs of letters of the bounded sample, as numbers, come to the driver; words by the part."""
+    sums = [F.sum(c).cast("int").alias(c) for c in ("toxic", "ordinary")]
+    letters = known.select("text", "toxic", "only").mapInArrow(_letter_runs_of, "run bigint, toxic bigint, ordinary bigint").groupBy("run").agg(*sums).toArrow()
+    spelling = _spelling(*(x if i == 0 else list(x) for i, x in enumerate((letters.column("run").to_numpy(), (letters.column(c).to_numpy() for c in ("toxic", "ordinary"))))))
+    del letters
     held = pairs.toArrow()
     history, word = (held.column(c).to_numpy().view(np.uint64) for c in ("history", "word"))
     counts = [held.column(c).to_numpy() for c in ("toxic", "ordinary")]
@@ -163,41 +312,63 @@ def _model(pairs: DataFrame) -> ToxicityModel:
     v = len(words) + 1
     histories = np.bincount(now, minlength=v)
     shared = np.maximum(histories, 1) / (histories.sum() + 1)  # any other word: one history
-    unigram = np.empty((2, v))
+    odds = np.ones((2, v), np.float32)
+    spelled = _spelled(known, spelling)
+    odds[:, _places(words, spelled[0])[0] + 1] = spelled[1]
+    unigram, weight = np.empty((2, v)), np.empty((2, v))
     for c, n in enumerate(counts):
         distinct = np.bincount(now[n > 0], minlength=v)
         direct = _discounted(distinct).astype(float) / max(1, distinct.sum())
-        unigram[c] = direct + (1.0 - direct.sum()) * shared
+        unigram[c] = direct + (1.0 - direct.sum()) * shared * odds[c] / (shared * odds[c]).sum()
+        weight[c] = unigram[c] / shared
 
     inside = history != 0
-    history, word, counts = history[inside], word[inside], [n[inside] for n in counts]
+    history, word, now, counts = history[inside], word[inside], now[inside], [n[inside] for n in counts]
     before = (_places(words, history)[0] + 1).astype(np.int32)  # every history is some pair's word
     codes = ngram_hashes(np.stack([history, word], axis=1).ravel(), 2)[::2]
     order = np.argsort(codes)
-    codes, before, counts = codes[order], before[order], [n[order] for n in counts]
-    del history, word, now, order
+    codes, before, now, counts = codes[order], before[order], now[order], [n[order] for n in counts]
+    del history, word, order
 
     def interpolated(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        mass = _discounted(n) / np.maximum(1, np.bincount(before, n, v))[before].astype(np.float32)
+        mass = _discounted(n) / (np.bincount(before, n, v) + _PAIR_CAUTION)[before].astype(np.float32)
         return mass, np.clip(1.0 - np.bincount(before, mass, v), 1e-9, 1.0)
 
-    both, left = interpolated(counts[0] + counts[1])
+    both, left_both = interpolated(counts[0] + counts[1])
     context, pair_mass = np.ones((2, v)), np.zeros((2, len(codes)), np.float32)
     for c, n in enumerate(counts):
-        mass, context[c] = interpolated(n)
-        pair_mass[c] = mass + context[c][before].astype(np.float32) * both
-        context[c] *= left
-    return ToxicityModel(words, unigram, context, codes, pair_mass)
+        mass, left = interpolated(n)
+        weighed = both * weight[c][now].astype(np.float32)
+        left /= np.bincount(before, weighed, v) + left_both  # so that all words after a history add up to one
+        pair_mass[c] = mass + left[before].astype(np.float32) * weighed
+        context[c] = left * left_both
+    return ToxicityModel(words, unigram, context, codes, pair_mass, spelling)
+
+
+def _spelled(known: DataFrame, spelling: Spelling) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the sample's words and their [2, words] odds by spelling."""
+    shared = known.sparkSession.sparkContext.broadcast(spelling)
+
+    def run(batches: Batches):
+        for batch in slices(batches, 20_000):
+            words = batch.column(0).to_pylist()
+            odds = shared.value.of_words(words)
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), *(pa.array(o) for o in odds)], names=["word", "toxic", "ordinary"])
+
+    found = known.select("text").mapInArrow(run, "word bigint, toxic double, ordinary double").toArrow()
+    shared.destroy()
+    return found.column("word").to_numpy().view(np.uint64), np.stack([found.column(c).to_numpy() for c in ("toxic", "ordinary")])
 
 
 def _points(rows: DataFrame, model: ToxicityModel) -> pd.DataFrame:
     """Class, number of words and the ratio by every margin of rows (y_, t_), within the bound of the sample."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    names = [f"ratio_{i}" for i in range(len(MARGINS))]
+    names, model_id = [f"ratio_{i}" for i in range(len(MARGINS))], uuid.uuid4().hex
 
     def run(batches: Batches):
         for batch in slices(batches):
-            found = [shared.value.differences(t) for t in batch.column(1).to_pylist()]
+            found = shared.value.differences(batch.column(1).to_pylist(), _known_words(model_id))
             ratios = [pa.array([_beyond(d, m) for d in found], pa.float64()) for m in MARGINS]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(d) for d in found], pa.int64()), *ratios], names=["y_", "n_words", *names])
 
@@ -210,6 +381,8 @@ def _calibrated(model: ToxicityModel, points: pd.DataFrame, weight: float) -> To
     """Slope, intercept, power and margin of least weighted log loss, by Newton steps with a slight ridge."""
     y, n = points["y_"].to_numpy(float), np.maximum(1, points["n_words"].to_numpy(float))
     w = np.where(y == 1, 1.0, max(1.0, weight))
+    if 0 < y.sum() < len(y):  # toxic rows are few; a missed one weighs more than a civil one flagged, by the root of the odds
+        w[y == 1] *= max(1.0, math.sqrt(w[y == 0].sum() / y.sum()))
     if len(y) == 0 or y.min() == y.max():
         share = min(max(1.0 / (1.0 + max(weight, 1.0)), 1e-3), 0.499)
         return replace(model, slope=0.0 if len(y) == 0 else 1.0, intercept=math.log(share / (1 - share)))
@@ -236,14 +409,13 @@ def _calibrated(model: ToxicityModel, points: pd.DataFrame, weight: float) -> To
 
 
 def _ratios(df: DataFrame, text: str, carry: list[str], model: ToxicityModel) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by rows_per_class
+    shared, model_id = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # bounded by rows_per_class
 
     def run(batches: Batches):
-        held = shared.value
-        for batch in slices(batches):
-            found = [held.ratio(t) for t in batch.column(0).to_pylist()]
-            ratio, n = [r for r, _ in found], [n for _, n in found]
-            score = [held.score(r, k) for r, k in found]
+        held, seen = shared.value, _known_words(model_id)
+        for batch in byte_slices(batches, rows=500):
+            found = held.scores(batch.column(0).to_pylist(), seen)
+            score, ratio, n = ([row[i] for row in found] for i in range(3))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(score, pa.float64()), pa.array(ratio, pa.float64()), pa.array(n, pa.int64())],
                 names=[*batch.schema.names[1:], "score", "ratio", "n_words"],
@@ -278,12 +450,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_civil(documents: DataFrame, model: ToxicityModel, *, threshold: float = 0.5) -> DataFrame:
     """Pipeline stage: the rows of ``documents`` that score below ``threshold``, all columns kept."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared, model_id, at = documents.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex, documents.columns.index("text")
 
     def run(batches: Batches):
-        held = shared.value
-        for batch in slices(batches):
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([held.score(*held.ratio(t)) < threshold for t in texts], pa.bool_()))
+        held, seen = shared.value, _known_words(model_id)
+        for batch in byte_slices(batches, at, rows=500):
+            texts = batch.column(at).to_pylist()
+            yield batch.filter(pa.array([score < threshold for score, _, _ in held.scores(texts, seen)], pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
