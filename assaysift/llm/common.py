@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,11 +93,44 @@ def worker_cache(name, make: Callable):
     Workers are reused from stage to stage; asking for another operator's cache drops the last one.
     """
     if name not in _live:
-        _live.clear()
+        if _live:
+            _live.clear()
+            give_back()
         _live[name] = make()
     return _live[name]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python's and Arrow's pools and the C heap keep it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+_shared: list[Broadcast] = []
+
+
+def shared(spark: SparkSession, value) -> Broadcast:
+    """A broadcast that ``drop_shared`` may take from the executors once its stage is written."""
+    _shared.append(spark.sparkContext.broadcast(value))
+    return _shared[-1]
+
+
+def drop_shared() -> None:
+    """Take the models of earlier stages from the executors; a task that needs one fetches it again."""
+    while _shared:
+        _shared.pop().unpersist()
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, or the first longer one that no column has, upper and lower case alike."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def bucket(key: Column | str, residue: int, modulus: int) -> Column:
     """Whether crc32 of the key as text leaves ``residue``; null for a null key."""
     column = F.col(key) if isinstance(key, str) else key

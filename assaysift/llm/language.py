@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, BoundedCache, bucket, letter_runs, slices, table, worker_cache
+from .common import Batches, BoundedCache, bucket, letter_runs, shared, slices, table, worker_cache
 
 DOCS_PER_LANGUAGE = 60  #: bound of the labelled sample: about so many whole texts of each language
 UNKNOWN = "und"
@@ -123,9 +123,9 @@ def fit(documents: DataFrame, *, key: str = "doc_id", text: str = "text", lang:
     return LanguageModel(tuple(f[0] for f in found), tuple(f[1] for f in found), tuple(f[2] for f in found))
 
 
-def _cache(shared) -> BoundedCache:
+def _cache(sent) -> BoundedCache:
     """Phrases by word, for one broadcast model."""
-    return worker_cache(("language", id(shared.value)), lambda: BoundedCache(shared.value.word, 150_000))
+    return worker_cache(("language", id(sent.value)), lambda: BoundedCache(sent.value.word, 150_000))
 
 
 def identify(documents: DataFrame, model: LanguageModel, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -134,12 +134,12 @@ def identify(documents: DataFrame, model: LanguageModel, *, key: str = "doc_id",
     A text that is null or has no letter is ``und`` with score 0. Null and repeated keys are predicted
     like any other; other columns are left out.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Batches):
-        cache = _cache(shared)
+        cache = _cache(sent)
         for batch in slices(batches):
-            found = [shared.value.predict(t, cache) for t in batch.column(1).to_pylist()]
+            found = [sent.value.predict(t, cache) for t in batch.column(1).to_pylist()]
             langs, scores = [f[0] for f in found], [f[1] for f in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[key, "lang_pred", "score"]
@@ -154,15 +154,15 @@ def keep_languages(documents: DataFrame, model: LanguageModel, *, languages: tup
 
     Where no language was learned and none is asked for, nothing can be told: every text with a letter stays.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    held = shared(documents.sparkSession, model)
     wanted = frozenset(model.languages if languages is None else languages)
     untold = not model.languages and languages is None
 
     def run(batches: Batches):
-        cache = _cache(shared)
+        cache = _cache(held)
         for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            keep = [bool(t and letter_runs(t)) if untold else shared.value.predict(t, cache)[0] in wanted for t in texts]
+            keep = [bool(t and letter_runs(t)) if untold else held.value.predict(t, cache)[0] in wanted for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, parts_for, slices, stored, table
+from .common import Batches, free_name, parts_for, slices, stored, table
 from .tokens import TOKENIZER, encode
 
 CAPACITY = 2048
@@ -113,17 +113,18 @@ def pack(cut: DataFrame, *, capacity: int = CAPACITY, group_rows: int = GROUP_RO
 
     The pieces are stored first, which fixes the row numbers that deal them out and gives their count.
     """
-    numbered = stored(cut.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    number, dealt = free_name(cut.columns, "_row"), free_name(cut.columns, "_group")
+    numbered = stored(cut.withColumn(number, F.monotonically_increasing_id()), "pieces")
     groups = parts_for(numbered.count(), group_rows)
-    grouped = numbered.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
+    grouped = numbered.withColumn(dealt, F.pmod(F.xxhash64(F.col(number)), F.lit(groups)))
 
     def run(group: pa.Table) -> pa.Table:
         bins, offsets = best_two_fit(group["length"].to_numpy().astype(np.int64), capacity)
-        sequences = (group["_group"][0].as_py() << 32) + bins
-        return group.drop_columns(["_row", "_group"]).append_column("sequence_id", pa.array(sequences)).append_column("offset", pa.array(offsets))
+        sequences = (group[dealt][0].as_py() << 32) + bins
+        return group.drop_columns([number, dealt]).append_column("sequence_id", pa.array(sequences)).append_column("offset", pa.array(offsets))
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
-    return grouped.groupBy("_group").applyInArrow(run, f"{kinds}, sequence_id bigint, offset bigint")
+    return grouped.groupBy(dealt).applyInArrow(run, f"{kinds}, sequence_id bigint, offset bigint")
 
 
 def pack_documents(

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, BoundedCache, bucket, byte_slices, letter_runs, ngram_hashes, slices, stored, table, worker_cache
+from .common import Batches, BoundedCache, bucket, byte_slices, letter_runs, ngram_hashes, shared, slices, stored, table, worker_cache
 
 ROWS_PER_CLASS = 10_000  #: bound of the labelled sample: rows of each class that are read
 FOLDS, CALIBRATION_FOLD = 4, 0  #: of the learning rows, this fold fits the logistic function
@@ -120,13 +120,12 @@ def _spelling(run: np.ndarray, counts: list[np.ndarray]) -> Spelling:
             return mass, np.clip(1.0 - np.bincount(of, mass, size), 1e-9, 1.0)
 
         both, left_both = interpolated(n[0] + n[1])
-        lower, below = out.odds(runs, k - 1)
-        shared = both + left_both[of] * below
+        lower = out.odds(runs, k - 1)[0]
         mass, left = np.empty((2, len(runs))), np.empty((2, len(contexts)))
         for c in (0, 1):
             mass[c], left[c] = interpolated(n[c])
             # After a context the shared letters, weighed by the class's odds, still add up to one.
-            left[c] /= np.clip(1.0 + np.bincount(of, shared * (lower[c] - 1.0), len(contexts)), 1e-3, None)
+            left[c] /= np.bincount(of, both * lower[c], len(contexts)) + left_both
         for held, x in zip((out.runs, out.mass, out.both, out.contexts, out.left, out.left_both), (runs, mass, both, contexts, left, left_both), strict=True):
             held.append(x)
     return out
@@ -347,33 +346,33 @@ def _model(pairs: DataFrame, known: DataFrame) -> ToxicityModel:
 
 def _spelled(known: DataFrame, spelling: Spelling) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the sample's words and their [2, words] odds by spelling."""
-    shared = known.sparkSession.sparkContext.broadcast(spelling)
+    sent = known.sparkSession.sparkContext.broadcast(spelling)
 
     def run(batches: Batches):
         for batch in slices(batches, 20_000):
             words = batch.column(0).to_pylist()
-            odds = shared.value.of_words(words)
+            odds = sent.value.of_words(words)
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
             yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), *(pa.array(o) for o in odds)], names=["word", "toxic", "ordinary"])
 
     found = known.select("text").mapInArrow(run, "word bigint, toxic double, ordinary double").toArrow()
-    shared.destroy()
+    sent.destroy()
     return found.column("word").to_numpy().view(np.uint64), np.stack([found.column(c).to_numpy() for c in ("toxic", "ordinary")])
 
 
 def _points(rows: DataFrame, model: ToxicityModel) -> pd.DataFrame:
     """Class, number of words and the ratio by every margin of rows (y_, t_), within the bound of the sample."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    sent = rows.sparkSession.sparkContext.broadcast(model)
     names, model_id = [f"ratio_{i}" for i in range(len(MARGINS))], uuid.uuid4().hex
 
     def run(batches: Batches):
         for batch in slices(batches):
-            found = shared.value.differences(batch.column(1).to_pylist(), _known_words(model_id))
+            found = sent.value.differences(batch.column(1).to_pylist(), _known_words(model_id))
             ratios = [pa.array([_beyond(d, m) for d in found], pa.float64()) for m in MARGINS]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(d) for d in found], pa.int64()), *ratios], names=["y_", "n_words", *names])
 
     points = rows.mapInArrow(run, ", ".join(["y_ int", "n_words bigint", *(f"{n} double" for n in names)])).toPandas()
-    shared.destroy()
+    sent.destroy()
     return points
 
 
@@ -409,10 +408,10 @@ def _calibrated(model: ToxicityModel, points: pd.DataFrame, weight: float) -> To
 
 
 def _ratios(df: DataFrame, text: str, carry: list[str], model: ToxicityModel) -> DataFrame:
-    shared, model_id = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # bounded by rows_per_class
+    held_model, model_id = shared(df.sparkSession, model), uuid.uuid4().hex  # bounded by rows_per_class
 
     def run(batches: Batches):
-        held, seen = shared.value, _known_words(model_id)
+        held, seen = held_model.value, _known_words(model_id)
         for batch in byte_slices(batches, rows=500):
             found = held.scores(batch.column(0).to_pylist(), seen)
             score, ratio, n = ([row[i] for row in found] for i in range(3))
@@ -450,10 +449,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_civil(documents: DataFrame, model: ToxicityModel, *, threshold: float = 0.5) -> DataFrame:
     """Pipeline stage: the rows of ``documents`` that score below ``threshold``, all columns kept."""
-    shared, model_id, at = documents.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex, documents.columns.index("text")
+    held_model, model_id, at = shared(documents.sparkSession, model), uuid.uuid4().hex, documents.columns.index("text")
 
     def run(batches: Batches):
-        held, seen = shared.value, _known_words(model_id)
+        held, seen = held_model.value, _known_words(model_id)
         for batch in byte_slices(batches, at, rows=500):
             texts = batch.column(at).to_pylist()
             yield batch.filter(pa.array([score < threshold for score, _, _ in held.scores(texts, seen)], pa.bool_()))

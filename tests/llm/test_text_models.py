@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from assaysift.llm import decontaminate, language, licenses, toxicity
@@ -201,3 +202,22 @@ def test_blocks_over_the_whole_table(spark):
     lines = {(k, line) for k, t in texts.items() for line in (t or "").split("\n") if licenses._CUE.search(line)}
     assert {(r.doc_id, texts[r.doc_id][r.start : r.start + r.length]) for r in got} == lines
     assert sum(r.confirmed for r in got) >= 0.9 * len(got)
+
+
+def test_words_and_letters_of_any_context_sum_to_one(toxic_model):
+    assert np.allclose(toxic_model.unigram.sum(axis=1), 1.0)
+    spelling = toxic_model.spelling
+    for context in ("", "v", "vi", "vil", "zzz", "wor"):
+        last = toxicity.letter_codes([context])[0]
+        before = (int(last[-1]) >> toxicity._LETTER_BITS if len(context) == 0 else int(last[-2])) if len(last) > 1 or not context else 0
+        runs = (before << toxicity._LETTER_BITS | np.arange(4_096)) & ((1 << toxicity._LETTERS * toxicity._LETTER_BITS) - 1)
+        odds, both = spelling.odds(runs)
+        assert both.sum() == pytest.approx(1.0, abs=1e-6)
+        assert (odds * both).sum(axis=1) == pytest.approx([1.0, 1.0], abs=1e-6)
+
+
+def test_runs_of_letters():
+    runs, word = toxicity.letter_codes(["ab", "", "abcdef"])
+    spelled = ["".join(chr(int(r) >> toxicity._LETTER_BITS * i & 4095) for i in range(4, -1, -1)).strip("\0") for r in runs]
+    assert spelled == ["a", "ab", "ab\1", "\1", "a", "ab", "abc", "abcd", "abcde", "bcdef", "cdef\1"]
+    assert word.tolist() == [0] * 3 + [1] + [2] * 7
