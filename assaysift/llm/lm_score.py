@@ -25,7 +25,7 @@ from .common import Batches, BoundedCache, byte_slices, give_back, ngram_hashes,
 
 ORDER = 3
 BACKOFF = 0.4
-BLOCK_CHARS = 6_000_000  #: a block of texts, its words and their n-grams are in one task at a time
+BLOCK_CHARS = 10_000_000  #: a block of texts, its words and their n-grams are in one task at a time
 BUCKET_CHARS = 8_000_000  #: about so many characters of the corpus per bucket of the count table
 HASH_BYTES = 7
 
@@ -58,7 +58,7 @@ def _blob(pieces: list[pa.RecordBatch]) -> bytes:
     with pa.ipc.new_stream(sink, pieces[0].schema) as writer:
         for piece in pieces:
             writer.write_batch(piece)
-    return zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+    return zstandard.ZstdCompressor(level=5).compress(sink.getvalue())
 
 
 def _opened(blob: bytes) -> tuple[pa.ChunkedArray, list[str | None]]:
