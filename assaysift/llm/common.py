@@ -71,16 +71,25 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 
 class BoundedCache(dict):
-    """A dict that computes what it lacks and starts afresh at ``limit`` entries."""
+    """A dict that computes what it lacks and starts afresh at ``limit`` entries or, of byte values, ``size`` bytes.
 
-    def __init__(self, make: Callable, limit: int = 300_000):
+    Byte values over a hundredth of ``size`` are not kept.
+    """
+
+    def __init__(self, make: Callable, limit: int = 300_000, size: int = 64_000_000):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.size, self.held = make, limit, size, 0
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        value = self.make(key)
+        more = len(value) + 150 if isinstance(value, bytes) else 0
+        if more * 100 > self.size:
+            return value
+        if len(self) >= self.limit or self.held + more > self.size:
             self.clear()
-        value = self[key] = self.make(key)
+            self.held = 0
+        self.held += more
+        self[key] = value
         return value
 
 

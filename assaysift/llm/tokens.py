@@ -1,25 +1,30 @@
 """Exact token counts at every prefix of a text, by prefix dynamic programming.
 
 The tokenizers meant here drop white space, so a prefix has as many tokens as the white-space separated
-chunks that end in it, plus those of the piece it cuts: count(prefix) = count(up to the chunk) +
-count(part of the chunk). Each row stores the first term at every chunk end; the second has few distinct
-arguments and is remembered per worker. Truncation and budget questions then read the stored counts and
-look at one chunk, and never encode the text again. Spark deals out the rows; nothing is shuffled.
+chunks that end in it, plus those of the piece it cuts. Inside a pre-token the counts come from dynamic
+programming: of a sequence of tokens the encoder makes exactly those in which every neighbouring pair,
+encoded by itself, comes out as that pair; so every prefix has one last token that follows the last
+token of a shorter prefix, and its count is that prefix's plus one. A table holds the end of every
+character and the tokens up to it. Totals, truncation and budget questions read it and never encode
+again. Spark deals out the rows; nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import unicodedata
+from itertools import accumulate, pairwise
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import Batches, BoundedCache, slices, table, worker_cache
+from .common import Batches, BoundedCache, byte_slices, slices, table, worker_cache
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
@@ -29,6 +34,8 @@ _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Letters that lower-casing and composition map one to one, then marks: two pre-tokens. An apostrophe
 # could start a suffix and a less-than sign a special token; those go the long way.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)")
+_RUNS = regex.compile(_PATTERN)
+_WORD_END = "</w>"
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
 
@@ -66,14 +73,93 @@ class ChunkEncoder:
         return self.runs[word.lower()] + self.runs[marks] if marks else self.runs[word.lower()]
 
 
-def _worker(path: str) -> tuple[ChunkEncoder, BoundedCache, BoundedCache]:
-    """One per Python worker: the encoder, counts by chunk and ids by chunk; the caches are bounded."""
+class PrefixCounter:
+    """Numbers of tokens of every prefix of a chunk, a character at a time, as 32-bit numbers.
+
+    A chunk with a special token's string, or whose characters compose, is encoded prefix by prefix, and so
+    is one whose last count is not the library's; all others take time in proportion to their length.
+    """
+
+    def __init__(self, path: str, encoder: ChunkEncoder):
+        model = json.loads(open(path, encoding="utf-8").read())["model"]
+        if model.get("end_of_word_suffix") != _WORD_END or model.get("continuing_subword_prefix"):
+            raise ValueError(f"{path} does not mark the ends of words by {_WORD_END}")
+        self.encoder = encoder
+        self.ranks = {tuple(m): i for i, m in enumerate(model["merges"])}
+        self.vocabulary = model["vocab"]
+        self.longest = max(len(t.removesuffix(_WORD_END)) for t in self.vocabulary)
+        self.kept = BoundedCache(lambda token: self._merged(token) == [token])
+        self.follows = BoundedCache(lambda pair: self._merged(*pair) == list(pair))
+        self.runs = BoundedCache(self._run)
+        self.chunks = BoundedCache(self._chunk)
+
+    def _merged(self, *tokens: str) -> list[str]:
+        """The tokens' letters, merged pair by pair, lowest rank first."""
+        parts = []
+        for token in tokens:
+            letters = list(token.removesuffix(_WORD_END))
+            parts += [*letters[:-1], letters[-1] + _WORD_END] if token.endswith(_WORD_END) else letters
+        while len(parts) > 1:
+            rank, at = min((self.ranks.get(pair, len(self.ranks)), i) for i, pair in enumerate(pairwise(parts)))
+            if rank == len(self.ranks):
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    def _last(self, spelled: str, end: int, lasts: list[str], mark: str) -> tuple[str, int]:
+        """The last token of the first ``end`` letters, ending the word if ``mark``, and where it starts."""
+        for start in range(max(0, end - self.longest), end):
+            token = spelled[start:end] + mark
+            if token in self.vocabulary and self.kept[token] and (not start or self.follows[lasts[start], token]):
+                return token, start
+        raise ValueError(f"no token ends at letter {end} of {spelled!r}")
+
+    def _run(self, run: str) -> bytes:
+        """Counts for a pre-token and its prefixes."""
+        ends = set(accumulate(len(c.encode()) for c in run))
+        spelled = run.encode().decode("latin-1").translate(self.encoder.letters)
+        lasts, inner, counts = [""], [0], []
+        for end in range(1, len(spelled) + 1):
+            if end in ends:
+                counts.append(inner[self._last(spelled, end, lasts, _WORD_END)[1]] + 1)
+            token, start = self._last(spelled, end, lasts, "")
+            lasts.append(token)
+            inner.append(inner[start] + 1)
+        if len(run) > 1 and run[0] == "'" and run[1].isalpha():  # a suffix, when cut, is a mark and letters
+            rest = np.frombuffer(self.runs[run[1:]], "<u4").tolist()
+            counts[1:-1] = [counts[0] + n for n in rest[:-1]]
+        return np.array(counts, "<u4").tobytes()
+
+    def _by_runs(self, text: str) -> np.ndarray | None:
+        if "<|" in text or not unicodedata.is_normalized("NFC", text):
+            return None
+        lowered = [c.lower() for c in text]
+        counts, done, at = np.zeros(sum(map(len, lowered)), np.int64), 0, 0
+        for match in _RUNS.finditer("".join(lowered)):
+            counts[at : match.start()] = done
+            at = match.end()
+            counts[match.start() : at] = np.frombuffer(self.runs[match.group()], "<u4")
+            counts[match.start() : at] += done
+            done = int(counts[at - 1])
+        counts[at:] = done
+        return counts[np.cumsum([len(c) for c in lowered]) - 1]
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        counts = self._by_runs(text)
+        if counts is None or counts[-1] != len(self.encoder.ids(chunk)):
+            encode = self.encoder.library.encode
+            counts = np.array([len(encode(text[:i], add_special_tokens=False).ids) for i in range(1, len(text) + 1)])
+        return counts.astype("<u4").tobytes()
+
+
+def _worker(path: str) -> tuple[ChunkEncoder, PrefixCounter, BoundedCache]:
+    """One per Python worker: the encoder, prefix counts and ids by chunk; the caches are bounded."""
 
     def make():
         encoder = ChunkEncoder(path)
-        counts = BoundedCache(lambda chunk: len(encoder.ids(chunk)))
         ids = BoundedCache(lambda chunk: np.array(encoder.ids(chunk), "<u4").tobytes())
-        return encoder, counts, ids
+        return encoder, PrefixCounter(path, encoder), ids
 
     return worker_cache(("tokens", path), make)
 
@@ -87,77 +173,65 @@ def encode(text: bytes, tokenizer: str = TOKENIZER) -> bytes:
     return b"".join(map(_worker(_path(tokenizer))[2].__getitem__, text.split()))
 
 
-def chunk_ends(text: bytes) -> np.ndarray:
-    """Byte offsets at which chunks end."""
-    space = _SPACE[np.frombuffer(text, np.uint8)]
-    inside = ~space
-    return np.flatnonzero(inside & np.append(space[1:], True)) + 1 if len(text) else np.empty(0, np.int64)
-
-
 def prefix_table(text: bytes, tokenizer: str = TOKENIZER) -> tuple[np.ndarray, np.ndarray]:
-    """Chunk ends and the number of tokens up to each."""
-    chunks = text.split()
-    counts = np.fromiter(map(_worker(_path(tokenizer))[1].__getitem__, chunks), np.int64, len(chunks))
-    return chunk_ends(text), np.cumsum(counts)
+    """Byte offsets at which characters end, and the number of tokens up to each."""
+    if not text:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    letters = np.frombuffer(text, np.uint8)
+    ends = np.flatnonzero(np.append((letters[1:] & 0xC0) != 0x80, True)) + 1
+    inside = ~_SPACE[letters[ends - 1]]
+    counts = [*map(_worker(_path(tokenizer))[1].chunks.__getitem__, text.split())]
+    sizes = np.fromiter(map(len, counts), np.int64, len(counts)) // 4
+    flat = np.frombuffer(b"".join(counts), "<u4").astype(np.int64)
+    whole = flat[np.cumsum(sizes) - 1]
+    totals = np.zeros(len(ends), np.int64)
+    totals[inside] = flat + np.repeat(np.cumsum(whole) - whole, sizes)
+    last = np.maximum.accumulate(np.where(inside, np.arange(len(ends)), -1))  # white space counts as what stands before it
+    return ends, np.where(last >= 0, totals[last], 0)
 
 
 def tokens_up_to(text: bytes, ends: np.ndarray, totals: np.ndarray, position: int, tokenizer: str = TOKENIZER) -> int:
     """Tokens of the first ``position`` bytes, which must end at a character."""
     done = int(np.searchsorted(ends, position, side="right"))
-    rest = text[int(ends[done - 1]) if done else 0 : position].strip(b" \t\n\r\x0b\x0c")
-    return (int(totals[done - 1]) if done else 0) + (_worker(_path(tokenizer))[1][rest] if rest else 0)
+    return int(totals[done - 1]) if done else 0
 
 
 def longest_within(text: bytes, ends: np.ndarray, totals: np.ndarray, budget: int, tokenizer: str = TOKENIZER) -> int:
-    """Bytes of the longest prefix of at most ``budget`` tokens; every chunk has a token, so only one is cut."""
-    done = int(np.searchsorted(totals, budget, side="right"))
-    if done == len(ends):
-        return len(text)
-    start, before = (int(ends[done - 1]), int(totals[done - 1])) if done else (0, 0)
-    gap = text[start : int(ends[done])]
-    chunk = gap.lstrip(b" \t\n\r\x0b\x0c")
-    best = start + len(gap) - len(chunk)
-    counts, size = _worker(_path(tokenizer))[1], 0
-    for letter in chunk.decode():
-        size += len(letter.encode())
-        if before + counts[chunk[:size]] <= budget:
-            best = start + len(gap) - len(chunk) + size
-    return best
+    """Bytes of the longest prefix of at most ``budget`` tokens; a longer prefix may have fewer tokens than a shorter one."""
+    fits = np.flatnonzero(totals <= budget)
+    return int(ends[fits[-1]]) if len(fits) else 0
 
 
 def count_tokens(
-    documents: DataFrame, *, key: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, keep_prefixes: bool = True
+    documents: DataFrame, *, key: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, keep_prefixes: bool = True, budget: int = LIMIT
 ) -> DataFrame:
-    """Key, n_bytes, n_tokens and, with ``keep_prefixes``, the prefix table of every row.
+    """Key, n_bytes, n_tokens, kept_bytes and, with ``keep_prefixes``, the prefix table of every row.
 
-    The table is two binary columns, ``ends`` and ``totals``, of little-endian unsigned 32-bit numbers.
-    A null text counts as empty: 0 bytes, 0 tokens, an empty table. Null or repeated keys make no
-    difference; other columns are left out.
+    All are read from the table, ``kept_bytes`` as the longest prefix of at most ``budget`` tokens. The
+    table is two binary columns, ``ends`` and ``totals``, of little-endian unsigned 32-bit numbers, an
+    entry a character; without ``keep_prefixes`` it is left in the task. A null text counts as empty: 0
+    bytes, 0 tokens, an empty table. Null or repeated keys make no difference; other columns are left out.
     """
 
     def run(batches: Batches):
-        path = _path(tokenizer)
-        counts = _worker(path)[1].__getitem__
-        for batch in slices(batches):
-            rows: dict[str, list] = {"n_bytes": [], "n_tokens": [], "ends": [], "totals": []}
+        for batch in byte_slices(batches, column=1, size=1_000_000, rows=500):
+            rows: dict[str, list] = {"n_bytes": [], "n_tokens": [], "kept_bytes": [], "ends": [], "totals": []}
             for data in batch.column(1).cast(pa.binary()).to_pylist():
                 data = data or b""
-                totals = np.cumsum(np.fromiter(map(counts, data.split()), np.int64))
+                ends, totals = prefix_table(data, tokenizer)
                 rows["n_bytes"].append(len(data))
-                rows["n_tokens"].append(int(totals[-1]) if len(totals) else 0)
+                rows["n_tokens"].append(tokens_up_to(data, ends, totals, len(data)))
+                rows["kept_bytes"].append(longest_within(data, ends, totals, budget))
                 if keep_prefixes:
-                    rows["ends"].append(chunk_ends(data).astype("<u4").tobytes())
+                    rows["ends"].append(ends.astype("<u4").tobytes())
                     rows["totals"].append(totals.astype("<u4").tobytes())
-            columns = [batch.column(0), pa.array(rows["n_bytes"], pa.int64()), pa.array(rows["n_tokens"], pa.int64())]
-            names = [key, "n_bytes", "n_tokens"]
-            if keep_prefixes:
-                columns += [pa.array(rows["ends"], pa.binary()), pa.array(rows["totals"], pa.binary())]
-                names += ["ends", "totals"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            kinds = dict.fromkeys(("n_bytes", "n_tokens", "kept_bytes"), pa.int64()) | ({"ends": pa.binary(), "totals": pa.binary()} if keep_prefixes else {})
+            columns = [pa.array(rows[name], kind) for name, kind in kinds.items()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[key, *kinds])
 
     kind = documents.schema[key].dataType.simpleString()
     prefixes = ", ends binary, totals binary" if keep_prefixes else ""
-    return documents.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_bytes bigint, n_tokens bigint{prefixes}")
+    return documents.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_bytes bigint, n_tokens bigint, kept_bytes bigint{prefixes}")
 
 
 def truncated(counted: DataFrame, budget: int = LIMIT, *, key: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
@@ -175,5 +249,5 @@ def truncated(counted: DataFrame, budget: int = LIMIT, *, key: str = "doc_id", t
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = count_tokens(table(spark, sf_dir, "documents"), keep_prefixes=False)
-    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"))
+    counted = count_tokens(table(spark, sf_dir, "documents"), keep_prefixes=False, budget=LIMIT)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("kept_bytes") < F.col("n_bytes")).alias("over_limit"))

@@ -42,6 +42,29 @@ def test_every_prefix(text):
         assert tokens.longest_within(data, ends, totals, budget) == max(p for p, n in counts.items() if n <= budget)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("abeinrstvl'' ,.;!?12éİ漢字")), min_size=1, max_size=16))
+def test_every_prefix_of_any_text(text):
+    ends, totals = tokens.prefix_table(text.encode())
+    assert ends.tolist() == [len(text[:i].encode()) for i in range(1, len(text) + 1)]
+    assert totals.tolist() == [len(library_ids(text[:i])) for i in range(1, len(text) + 1)]
+
+
+def test_prefixes_of_words_come_from_dynamic_programming():
+    words = ["unbelievably", "internationalization's", "they're", "don't've", "Straße", "漢字かなカタカナ交じり文", "x86_64-linux", "!!!???...", "ｆｕｌｌ"]
+    counter = tokens._worker(tokens._path(tokens.TOKENIZER))[1]
+    for word in words:
+        assert counter._by_runs(word).tolist() == [len(library_ids(word[:i])) for i in range(1, len(word) + 1)]
+
+
+def test_a_long_text_without_white_space_takes_linear_time():
+    text = "統計的言語モデルの評価と訓練" * 3_000
+    ends, totals = tokens.prefix_table(text.encode())
+    assert len(ends) == len(text) and totals[-1] == len(library_ids(text))
+    cut = tokens.longest_within(text.encode(), ends, totals, 2048)
+    assert len(library_ids(text.encode()[:cut].decode())) <= 2048
+
+
 def test_counts_and_truncation_of_rows(spark):
     rows = [(1, "One two, three", "x"), (1, None, "y"), (None, "", None), (2, "word " * 5000, "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
