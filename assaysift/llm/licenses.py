@@ -1,12 +1,14 @@
 """License scans by conditional compression.
 
-Lines with a licensing word, and short gaps between such lines, form candidate blocks. In a block and the
-text that follows it, every template is aligned word by word wherever the words that name its license
-occur; one is confirmed if enough of its words stand in a span that holds little else. The best span is
-taken out and the words before and after it are searched on until no template fits, so a block gives as
-many rows as it has notices. SPDX identifiers are read as they stand. A block without any is compressed
-by zstandard alone and with each template as raw dictionary, and is given the template that saves most,
-unconfirmed. Rows are scanned where they lie; nothing is shuffled or broadcast but the few templates.
+Lines with a licensing word, and short gaps between such lines, form candidate blocks. A block and the
+text that follows it are compressed by zstandard alone and with each template as raw dictionary. In the
+order of the bytes saved, a template is confirmed by its exact wording: aligned word by word where the
+words that name its license occur, enough of its words must stand in a span that holds little else and
+isn't denied. The first that is confirmed is taken out, and what stands before and after it is compressed
+and ranked again until no template is confirmed, so a block gives as many rows as it has notices. SPDX
+expressions are read by their grammar, known identifiers only. A block without any notice is given the
+template that saves most, unconfirmed. Rows are scanned where they lie; nothing is shuffled or broadcast
+but the few templates.
 """
 
 from __future__ import annotations
@@ -117,15 +119,53 @@ TEMPLATES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "BSD-2-Clause": (("redistribution", "source", "binary"), (_BSD, _BSD + _BSD_DISCLAIMER)),
     "CC-BY-4.0": (
         ("cc", "by", "4.0"),
-        ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License (CC BY 4.0)."),
+        ("CC BY 4.0", "Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License (CC BY 4.0)."),
     ),
     "CC-BY-SA-4.0": (
         ("cc", "by-sa", "4.0"),
-        ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License (CC BY-SA 4.0)."),
+        ("CC BY-SA 4.0", "Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License (CC BY-SA 4.0)."),
     ),
     "CC-BY-NC-4.0": (
         ("cc", "by-nc", "4.0"),
-        ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License (CC BY-NC 4.0)."),
+        ("CC BY-NC 4.0", "Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License (CC BY-NC 4.0)."),
+    ),
+    "MPL-2.0": (
+        ("mozilla", "public", "2.0"),
+        (
+            "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+            "with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+            "Licensed under the Mozilla Public License, version 2.0.",
+        ),
+    ),
+    "ISC": (
+        ("permission", "fee", "granted"),
+        (
+            "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies.",
+            "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "
+            '"AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+            "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
+            "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE "
+            "OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+        ),
+    ),
+    "Unlicense": (
+        ("unencumbered", "public", "domain"),
+        (
+            "This is free and unencumbered software released into the public domain.",
+            "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+            "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+            "non-commercial, and by any means.",
+        ),
+    ),
+    "EPL-2.0": (
+        ("eclipse", "public", "2.0"),
+        (
+            "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is "
+            "available at https://www.eclipse.org/legal/epl-2.0/",
+            "Licensed under the Eclipse Public License, version 2.0.",
+        ),
     ),
     "all-rights-reserved": (("rights", "reserved"), ("All rights reserved.", "Copyright (c) 2020 The Authors. All rights reserved.")),
 }
@@ -142,10 +182,49 @@ NOT_NAMED = {
     "GPL-2.0": {"lesser", "library", "affero"},
     "BSD-2-Clause": {"endorse"},
 }
-_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+\-() \t]+)", re.IGNORECASE)
-_SPDX_WORD = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+\-]*")
+#: words that, shortly before a span or inside it, deny the license
+DENIALS = {"not", "never", "neither", "nor", "isn", "aren", "wasn", "no"}
+
+#: SPDX identifiers that are read; fixed values.
+SPDX_IDS = """
+0BSD AFL-3.0 AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later Apache-1.1 Apache-2.0 Artistic-2.0 BSD-1-Clause BSD-2-Clause BSD-2-Clause-Patent
+BSD-3-Clause BSD-3-Clause-Clear BSD-4-Clause BSL-1.0 CC-BY-3.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-NC-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-ND-4.0
+CC-BY-SA-3.0 CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 CDDL-1.1 CECILL-2.1 CPL-1.0 ECL-2.0 EPL-1.0 EPL-2.0 EUPL-1.1 EUPL-1.2 GFDL-1.3 GPL-1.0
+GPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0 GPL-3.0-only GPL-3.0-or-later HPND ISC LGPL-2.0-only LGPL-2.0-or-later LGPL-2.1
+LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later LPPL-1.3c MIT MIT-0 MPL-1.1 MPL-2.0 MPL-2.0-no-copyleft-exception
+MS-PL MS-RL MulanPSL-2.0 NCSA ODbL-1.0 OFL-1.1 OSL-3.0 PostgreSQL PSF-2.0 Python-2.0 Ruby SSPL-1.0 UPL-1.0 Unicode-3.0 Unlicense
+Vim W3C WTFPL X11 Zlib ZPL-2.1
+""".split()
+_SPDX_NAMES = {name.lower(): name for name in SPDX_IDS}
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*", re.IGNORECASE)
+_SPDX_PART = re.compile(r"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.\-]*\+?)")
+_SPDX_EXCEPTION = re.compile(r"[a-z0-9.\-]*exception[a-z0-9.\-]*", re.IGNORECASE)
+
+
+def spdx_licenses(text: str, at: int) -> list[tuple[int, int, str]]:
+    """(start, end, identifier) of the licenses of the SPDX expression at ``at``, as far as it follows the grammar."""
+    found, open_, wants_license = [], 0, True
+    while part := _SPDX_PART.match(text, at):
+        word = part.group(1)
+        name = _SPDX_NAMES.get(word.removesuffix("+").lower()) or (word.removesuffix("+") if word.startswith("LicenseRef-") else None)
+        if wants_license and word == "(":
+            open_ += 1
+        elif wants_license and name:
+            found.append((part.start(1), part.end(1), name + "+" * word.endswith("+")))
+            wants_license = False
+        elif not wants_license and word == ")" and open_:
+            open_ -= 1
+        elif not wants_license and word.upper() in ("AND", "OR"):
+            wants_license = True
+        elif not wants_license and word.upper() == "WITH" and (exception := _SPDX_PART.match(text, part.end())) and _SPDX_EXCEPTION.fullmatch(exception.group(1)):
+            part = exception
+        else:
+            break
+        at = part.end()
+    return found
+
 
-_CUE = re.compile(r"licen[sc]|copyright|redistribut|permission is|rights reserved|spdx|creative commons|©", re.IGNORECASE)
+_CUE = re.compile(r"licen[sc]|copyright|redistribut|permission is|rights reserved|spdx|creative commons|permission to use|mozilla public|eclipse public|public domain|\bcc by\b|©", re.IGNORECASE)
 _WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 
 
@@ -184,10 +263,9 @@ class Scanner:
         for name, (needed, notices) in templates.items():
             raw = zstandard.ZstdCompressionDict("\n".join(notices).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.templates.append((name, needed, [wording(n) for n in notices], zstandard.ZstdCompressor(dict_data=raw, **plain)))
-        self.notices = [
-            (name, [set(needed), *([set(ALSO_NAMED[name])] if name in ALSO_NAMED else [])], NOT_NAMED.get(name, set()), notice, Counter(notice))
+        self.named = [
+            ([set(needed), *([set(ALSO_NAMED[name])] if name in ALSO_NAMED else [])], NOT_NAMED.get(name, set()), [(n, Counter(n)) for n in notices])
             for name, needed, notices, _ in self.templates
-            for notice in notices
         ]
         self.reach = 2 * max(len(n) for _, notices in templates.values() for n in notices)  # characters
 
@@ -205,15 +283,16 @@ class Scanner:
         same, extra, missing, _, _ = max(found, key=lambda f: (f[0], -len(f[2])))
         return self.templates[i][0], saved, same, " ".join(extra), " ".join(missing)
 
-    def fits(self, words: list[str]) -> list[tuple]:
-        """Where in ``words`` any template fits, best first: (rank, name, same, extra, missing, first, end); all are compared.
+    def fits(self, template: int, words: list[str], have: Counter) -> list[tuple]:
+        """Where in ``words`` the template is confirmed, best first: (rank, same, extra, missing, first, end).
 
         A notice is skipped only if the words lack its name or too many of its words, whatever their order.
         """
-        have, found = Counter(words), []
-        for name, names, others, notice, parts in self.notices:
-            naming = next((n for n in names if all(have[w] for w in n)), None)
-            if naming is None or sum(min(n, have[w]) for w, n in parts.items()) < COVERAGE * len(notice):
+        names, others, notices = self.named[template]
+        found = []
+        naming = next((n for n in names if all(have[w] for w in n)), None)
+        for notice, parts in notices if naming else []:
+            if sum(min(n, have[w]) for w, n in parts.items()) < COVERAGE * len(notice):
                 continue
             anchor = min(sorted(naming & set(notice)) or sorted(naming), key=have.__getitem__)
             slack = len(notice) // 4 + 2
@@ -225,22 +304,32 @@ class Scanner:
                 inside = set(window[a:b])
                 if same < COVERAGE * max(len(notice), b - a) or not any(n <= inside for n in names) or inside & others:
                     continue
-                found.append((same - len(extra) - len(missing), name, same, extra, missing, first + a, first + b))
+                if DENIALS & {*words[max(0, first + a - 3) : first + a], *extra}:
+                    continue
+                found.append((same - len(extra) - len(missing), same, extra, missing, first + a, first + b))
         return sorted(found, key=lambda f: -f[0])
 
-    def spans(self, words: list[str], first: int = 0) -> list[tuple]:
-        """Every notice in ``words``: the best ones that do not overlap, then those between them, until none fits."""
-        todo, found = [(first, words)], []
+    def spans(self, text: str, marks: list[tuple[int, int, str]]) -> list[tuple]:
+        """Every notice among the words of ``text`` at ``marks``: (name, same, extra, missing, first mark, end).
+
+        The template that saves most of those confirmed is taken out; the words between are ranked again.
+        """
+        todo, found = [(0, len(marks))], []
         while todo:
-            at, rest = todo.pop()
-            free, taken = np.ones(len(rest), bool), []
-            for _, *what, a, b in self.fits(rest):
+            at, end = todo.pop()
+            words = [m[2] for m in marks[at:end]]
+            have = Counter(words)
+            ranked = self.ranked(text[marks[at][0] : marks[end - 1][1]]) if at < end else []
+            confirmed = ((i, fits) for _, i in ranked if (fits := self.fits(i, words, have)))
+            template, fits = next(confirmed, (None, []))
+            free, taken = np.ones(len(words), bool), []
+            for _, *what, a, b in fits:
                 if free[a:b].all():
                     free[a:b] = False
                     taken.append((a, b))
-                    found.append((*what, at + a, at + b))
-            ends = [0, *(x for span in sorted(taken) for x in span), len(rest)]
-            todo += [(at + a, rest[a:b]) for a, b in zip(ends[::2], ends[1::2], strict=True) if taken and b > a]
+                    found.append((self.templates[template][0], *what, at + a, at + b))
+            ends = [0, *(x for span in sorted(taken) for x in span), len(words)]
+            todo += [(at + a, at + b) for a, b in zip(ends[::2], ends[1::2], strict=True) if taken and b > a]
         return sorted(found, key=lambda f: f[4])
 
     def scan(self, text: str | None) -> list[tuple]:
@@ -254,15 +343,13 @@ class Scanner:
         spans = []  # (first character, end, license, saving, same, extra, missing)
         for begin, end in regions:
             marks = [(m.start() + begin, m.end() + begin, m.group()) for m in _WORD.finditer(text[begin:end].lower())]
-            for name, same, extra, missing, a, b in self.spans([m[2] for m in marks]):
+            for name, same, extra, missing, a, b in self.spans(text, marks):
                 piece = text[marks[a][0] : marks[b - 1][1]]
                 saved = next(saved for saved, i in self.ranked(piece) if self.templates[i][0] == name)
                 spans.append((marks[a][0], marks[b - 1][1], name, saved, same, " ".join(extra), " ".join(missing)))
         for offset, block in blocks:
             for m in _SPDX.finditer(block):
-                for word in _SPDX_WORD.finditer(m.group(1).split("\n")[0]):
-                    if word.group().upper() not in ("AND", "OR", "WITH"):
-                        spans.append((offset + m.start(1) + word.start(), offset + m.start(1) + word.end(), word.group(), 0.0, 1, "", ""))
+                spans += [(offset + a, offset + b, name, 0.0, 1, "", "") for a, b, name in spdx_licenses(block, m.end())]
         found = []
         for k, (offset, block) in enumerate(blocks):
             until = blocks[k + 1][0] if k + 1 < len(blocks) else len(text) + 1
