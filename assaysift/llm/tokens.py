@@ -1,12 +1,13 @@
 """Exact token counts at every prefix of a text, by prefix dynamic programming.
 
-The tokenizers meant here drop white space, so a prefix has as many tokens as the white-space separated
-chunks that end in it, plus those of the piece it cuts. Inside a pre-token the counts come from dynamic
-programming: of a sequence of tokens the encoder makes exactly those in which every neighbouring pair,
-encoded by itself, comes out as that pair; so every prefix has one last token that follows the last
-token of a shorter prefix, and its count is that prefix's plus one. A table holds the end of every
-character and the tokens up to it. Totals, truncation and budget questions read it and never encode
-again. Spark deals out the rows; nothing is shuffled.
+The tokenizers meant here drop white space and cut the rest into pre-tokens, so a prefix has as many
+tokens as the pre-tokens that end in it, plus those of the one it cuts. A table holds the first term at
+the end of every pre-token. The second comes from dynamic programming over the one that is cut: of a
+sequence of tokens the encoder makes exactly those in which every neighbouring pair, encoded by itself,
+comes out as that pair; so every prefix has one last token that follows the last token of a shorter
+prefix, and its count is that prefix's plus one. Totals, truncation and budget questions thus read the
+table and look at one pre-token, and never encode the text again. Spark deals out the rows; nothing is
+shuffled.
 """
 
 from __future__ import annotations
@@ -74,10 +75,11 @@ class ChunkEncoder:
 
 
 class PrefixCounter:
-    """Numbers of tokens of every prefix of a chunk, a character at a time, as 32-bit numbers.
+    """Numbers of tokens at the ends of a chunk's pre-tokens, and of every prefix of one that is cut.
 
-    A chunk with a special token's string, or whose characters compose, is encoded prefix by prefix, and so
-    is one whose last count is not the library's; all others take time in proportion to their length.
+    A chunk with a special token's string, or whose characters compose, counts as one pre-token and is
+    encoded prefix by prefix when cut, and so is one whose count is not the library's; all others take time
+    in proportion to their length.
     """
 
     def __init__(self, path: str, encoder: ChunkEncoder):
@@ -92,6 +94,7 @@ class PrefixCounter:
         self.follows = BoundedCache(lambda pair: self._merged(*pair) == list(pair))
         self.runs = BoundedCache(self._run)
         self.chunks = BoundedCache(self._chunk)
+        self.cuts = BoundedCache(self._cut)
 
     def _merged(self, *tokens: str) -> list[str]:
         """The tokens' letters, merged pair by pair, lowest rank first."""
@@ -144,14 +147,37 @@ class PrefixCounter:
         counts[at:] = done
         return counts[np.cumsum([len(c) for c in lowered]) - 1]
 
-    def _chunk(self, chunk: bytes) -> bytes:
-        text = chunk.decode()
+    def _cut(self, piece: bytes) -> bytes:
+        """Counts at the end of every character of a piece that begins where a pre-token does."""
+        text = piece.decode()
         counts = self._by_runs(text)
-        if counts is None or counts[-1] != len(self.encoder.ids(chunk)):
+        if counts is None or counts[-1] != len(self.encoder.ids(piece)):
             encode = self.encoder.library.encode
             counts = np.array([len(encode(text[:i], add_special_tokens=False).ids) for i in range(1, len(text) + 1)])
         return counts.astype("<u4").tobytes()
 
+    def _chunk(self, chunk: bytes) -> bytes:
+        """Pairs of byte offset and count, at the ends of pre-tokens and of the chunk."""
+        text, runs = chunk.decode(), self.encoder.runs
+        if plain := _PLAIN.fullmatch(text):
+            word, marks = plain.groups()
+            n, end = len(runs[word.lower()]), len(word.encode())
+            return np.array([end, n, len(chunk), n + len(runs[marks])] if marks else [end, n], "<u4").tobytes()
+        pairs, total = [], len(self.encoder.ids(chunk))
+        if "<|" not in text and unicodedata.is_normalized("NFC", text):
+            lowered = [c.lower() for c in text]
+            at = dict(zip(accumulate(map(len, lowered)), accumulate(len(c.encode()) for c in text), strict=True))
+            done = 0
+            for match in _RUNS.finditer("".join(lowered)):
+                done += len(runs[match.group()])
+                if match.end() in at:  # not inside a character that has become two
+                    pairs += [at[match.end()], done]
+            if done != total:
+                pairs = []
+        if pairs[-2:-1] != [len(chunk)]:
+            pairs += [len(chunk), total]
+        return np.array(pairs, "<u4").tobytes()
+
 
 def _worker(path: str) -> tuple[ChunkEncoder, PrefixCounter, BoundedCache]:
     """One per Python worker: the encoder, prefix counts and ids by chunk; the caches are bounded."""
@@ -173,33 +199,49 @@ def encode(text: bytes, tokenizer: str = TOKENIZER) -> bytes:
     return b"".join(map(_worker(_path(tokenizer))[2].__getitem__, text.split()))
 
 
+def chunk_starts(text: bytes) -> np.ndarray:
+    """Byte offsets at which chunks start."""
+    space = _SPACE[np.frombuffer(text, np.uint8)]
+    return np.flatnonzero(~space & np.append(True, space[:-1])) if len(text) else np.empty(0, np.int64)
+
+
 def prefix_table(text: bytes, tokenizer: str = TOKENIZER) -> tuple[np.ndarray, np.ndarray]:
-    """Byte offsets at which characters end, and the number of tokens up to each."""
-    if not text:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    letters = np.frombuffer(text, np.uint8)
-    ends = np.flatnonzero(np.append((letters[1:] & 0xC0) != 0x80, True)) + 1
-    inside = ~_SPACE[letters[ends - 1]]
-    counts = [*map(_worker(_path(tokenizer))[1].chunks.__getitem__, text.split())]
-    sizes = np.fromiter(map(len, counts), np.int64, len(counts)) // 4
-    flat = np.frombuffer(b"".join(counts), "<u4").astype(np.int64)
-    whole = flat[np.cumsum(sizes) - 1]
-    totals = np.zeros(len(ends), np.int64)
-    totals[inside] = flat + np.repeat(np.cumsum(whole) - whole, sizes)
-    last = np.maximum.accumulate(np.where(inside, np.arange(len(ends)), -1))  # white space counts as what stands before it
-    return ends, np.where(last >= 0, totals[last], 0)
+    """Byte offsets at which pre-tokens end, and the number of tokens up to each."""
+    pairs = [*map(_worker(_path(tokenizer))[1].chunks.__getitem__, text.split())]
+    sizes = np.fromiter(map(len, pairs), np.int64, len(pairs)) // 8
+    flat = np.frombuffer(b"".join(pairs), "<u4").astype(np.int64).reshape(-1, 2)
+    whole = flat[np.cumsum(sizes) - 1, 1]
+    return flat[:, 0] + np.repeat(chunk_starts(text), sizes), flat[:, 1] + np.repeat(np.cumsum(whole) - whole, sizes)
+
+
+def _cut_piece(text: bytes, ends: np.ndarray, done: int, tokenizer: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """Of the pre-token behind the first ``done``: where it starts, and the ends of its characters with the tokens up to each."""
+    start, end = int(ends[done - 1]) if done else 0, int(ends[done])
+    piece = text[start:end].lstrip(b" \t\n\r\x0b\x0c")
+    counts = np.frombuffer(_worker(_path(tokenizer))[1].cuts[piece], "<u4").astype(np.int64)
+    letters = np.frombuffer(piece, np.uint8)
+    return end - len(piece), end - len(piece) + np.flatnonzero(np.append((letters[1:] & 0xC0) != 0x80, True)) + 1, counts
 
 
 def tokens_up_to(text: bytes, ends: np.ndarray, totals: np.ndarray, position: int, tokenizer: str = TOKENIZER) -> int:
     """Tokens of the first ``position`` bytes, which must end at a character."""
     done = int(np.searchsorted(ends, position, side="right"))
-    return int(totals[done - 1]) if done else 0
+    before = int(totals[done - 1]) if done else 0
+    if done == len(ends) or position == (ends[done - 1] if done else 0):
+        return before
+    _, stops, counts = _cut_piece(text, ends, done, tokenizer)
+    inside = int(np.searchsorted(stops, position, side="right"))
+    return before + (int(counts[inside - 1]) if inside else 0)
 
 
 def longest_within(text: bytes, ends: np.ndarray, totals: np.ndarray, budget: int, tokenizer: str = TOKENIZER) -> int:
-    """Bytes of the longest prefix of at most ``budget`` tokens; a longer prefix may have fewer tokens than a shorter one."""
-    fits = np.flatnonzero(totals <= budget)
-    return int(ends[fits[-1]]) if len(fits) else 0
+    """Bytes of the longest prefix of at most ``budget`` tokens; in a pre-token a longer prefix may have fewer tokens than a shorter one."""
+    done = int(np.searchsorted(totals, budget, side="right"))
+    if done == len(ends):
+        return len(text)
+    start, stops, counts = _cut_piece(text, ends, done, tokenizer)
+    fits = np.flatnonzero(counts <= budget - (int(totals[done - 1]) if done else 0))
+    return int(stops[fits[-1]]) if len(fits) else start
 
 
 def count_tokens(
@@ -209,7 +251,7 @@ def count_tokens(
 
     All are read from the table, ``kept_bytes`` as the longest prefix of at most ``budget`` tokens. The
     table is two binary columns, ``ends`` and ``totals``, of little-endian unsigned 32-bit numbers, an
-    entry a character; without ``keep_prefixes`` it is left in the task. A null text counts as empty: 0
+    entry a pre-token; without ``keep_prefixes`` it is left in the task. A null text counts as empty: 0
     bytes, 0 tokens, an empty table. Null or repeated keys make no difference; other columns are left out.
     """
 
