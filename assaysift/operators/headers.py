@@ -86,7 +86,8 @@ def free_names(names: Column, suffix: str) -> Column:
         tries = F.transform(
             F.sequence(F.lit(0), F.size(taken)), lambda i: F.when(i == 0, name).otherwise(F.concat(name, F.lit(suffix), i.cast("string")))
         )
-        return F.concat(taken, F.array(F.get(F.filter(tries, lambda t: ~F.array_contains(taken, t)), F.lit(0))))
+        first = F.get(F.filter(tries, lambda t: ~F.array_contains(taken, t)), F.lit(0))
+        return F.concat(taken, F.array(F.when(F.array_contains(taken, name), first).otherwise(name)))
 
     return F.aggregate(names, F.array().cast("array<string>"), step)
 

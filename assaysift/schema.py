@@ -36,6 +36,7 @@ SEQ_ENGINEERING = 2000
 SEQ_DUPLICATE = 3000
 SEQ_OUTLIER = 4000
 SEQ_UNIT = 5000
+SEQ_SLIP = 6000
 
 FLAG = T.StructType(
     [T.StructField("row_index", T.LongType())]

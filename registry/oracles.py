@@ -332,6 +332,27 @@ def _cells() -> str:
     return f"base AS (SELECT {BASE} FROM lineitem), padded AS (SELECT *, {PADDED} FROM base), cells AS (" + " UNION ALL ".join(parts) + ")"
 
 
+def _spelled() -> str:
+    """Names of a paper, and which of them reach which by single changes of a letter; each pair is compared."""
+    spelled = (
+        "case k % 7 when 0 then concat('Hard carbon ', p % 40) when 1 then concat('hard carbn ', p % 40) when 2 then concat('hardd  carbon ', p % 40) "
+        "when 3 then concat('soft carbon ', p % 40) when 4 then concat('hord carbon ', p % 40) when 5 then 'n/a' else concat('HC', p % 4) end"
+    )
+    shown = ", ".join(f"CASE WHEN {MISSING.format(c=c)} THEN '' ELSE {c} END AS {c}" for c in ("paper_id", "sample_id", "sample_name"))
+    digits = "trim(regexp_replace({c}.name_key, '[^0-9]+', ' ', 'g'))"
+    return (
+        f"WITH RECURSIVE base AS (SELECT {BASE} FROM lineitem), spelled AS (SELECT {K}, {CANON['paper_id']} AS paper_id, {CANON['sample_id']} AS sample_id, "
+        f"{spelled} AS sample_name FROM base),\n"
+        f"named AS (SELECT {K}, {NORM.format(c='paper_id')} AS paper_key, {NORM.format(c='sample_name')} AS name_key, {shown} FROM spelled),\n"
+        "names AS (SELECT paper_key, name_key, count(*) AS n FROM named WHERE paper_key <> '' AND length(name_key) >= 4 GROUP BY ALL),\n"
+        "links AS (SELECT a.paper_key, a.name_key AS a, b.name_key AS b FROM names a JOIN names b ON a.paper_key = b.paper_key AND a.name_key <> b.name_key "
+        f"AND {digits.format(c='a')} = {digits.format(c='b')} AND levenshtein(a.name_key, b.name_key) <= 1),\n"
+        "reach AS (SELECT paper_key, a, b FROM links UNION SELECT r.paper_key, r.a, l.b FROM reach r JOIN links l ON l.paper_key = r.paper_key AND l.a = r.b),\n"
+        "classes AS (SELECT paper_key, a AS name_key, least(a, min(b)) AS component FROM reach GROUP BY paper_key, a),\n"
+        "degrees AS (SELECT paper_key, a AS name_key, count(*) AS n_links FROM links GROUP BY ALL)\n"
+    )
+
+
 def _convert_sql(*fields: str) -> str:
     listed = ", ".join(f'"{f}" AS {f}_text, {_value(f)} AS {f}_value, r_{f} AS {f}_rule' for f in fields)
     return _with(_clean()) + f"SELECT {K}, {listed} FROM coded"
@@ -383,6 +404,12 @@ def oracle_sql() -> dict[str, str]:
         "dup_paper_sample": keyed + f"SELECT {K}, key, key2 FROM hits WHERE detector = 2",
         "near_dup": keyed_copies + f"SELECT {KC}, key, key2 FROM hits WHERE detector = 3",
         "duplicate_flags": _with(_clean(KC), _keyed(KC), _dups(KC)) + f"SELECT {KC}, {FLAG_OUT}, value FROM dups",
+        "name_classes": _spelled()
+        + "SELECT paper_key, name_key, n, coalesce(component, name_key) AS component, coalesce(n_links, 0) AS n_links "
+        + "FROM names LEFT JOIN classes USING (paper_key, name_key) LEFT JOIN degrees USING (paper_key, name_key)",
+        "name_slips": _spelled()
+        + f"SELECT {K}, paper_id, sample_id, 'sample_name' AS field, 'P2' AS risk_level, 'name_slip' AS rule_code, NULL::double AS value_num, 6000 AS flag_seq, "
+        + "sample_name AS value FROM named JOIN classes USING (paper_key, name_key)",
         "all_flags": flags + f"SELECT {K}, {FLAG_OUT} FROM flags",
         "review_queue": flags + f"SELECT {K}, {FLAG_OUT}, row_number() OVER (ORDER BY {SEVERITY}, paper_id, sample_id, {K}, flag_seq) AS rank FROM flags",
         "flag_counts": flags + f"SELECT {COUNTS}, count(*) AS total FROM flags",

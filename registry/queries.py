@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from assaysift.functions import headers as header_functions
 from assaysift.functions.text import column, fmt6g
 from assaysift.functions.units import NUMERIC_FIELDS, normalize_value, parse_number, unit_text
-from assaysift.operators import audit, duplicates, headers, outliers, unit_fit, units, validate
+from assaysift.operators import audit, duplicates, headers, outliers, slips, unit_fit, units, validate
 from assaysift.plans import report
 from assaysift.schema import SEQ_DUPLICATE
 from assaysift.sources import sinks
@@ -183,6 +183,27 @@ def _unit_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("field_pos", "unit", "n", "dimension", F.round(F.log10("factor"), 9).alias("log_factor"), (F.col("dimension") == F.col("expected")).alias("fits"))
 
 
+# Sample names with slips, one more spelling each seventh order.
+SPELLED = (
+    "case k % 7 when 0 then concat('Hard carbon ', p % 40) when 1 then concat('hard carbn ', p % 40) when 2 then concat('hardd  carbon ', p % 40) "
+    "when 3 then concat('soft carbon ', p % 40) when 4 then concat('hord carbon ', p % 40) when 5 then 'n/a' else concat('HC', p % 4) end"
+)
+
+
+def _spelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = table(spark, sf_dir, "lineitem").selectExpr(*BASE_COLUMNS)
+    texts = {c: text for c, text in RAW.values()} | {"sample_name": SPELLED}
+    return materialise(base.select(*KEYS, *[F.expr(texts[c]).alias(c) for c in ("paper_id", "sample_id", "sample_name")]), "spelled")
+
+
+def _name_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slips.name_classes(_spelled(spark, sf_dir), KEYS)
+
+
+def _name_slips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flag_view(slips.name_slips(_spelled(spark, sf_dir), KEYS), KEYS, "value")
+
+
 def _header_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return header_catalogue(spark, sf_dir).withColumn("header_text", header_functions.header_text(F.col("raw_header")))
 
@@ -395,6 +416,8 @@ def queries() -> dict[str, Query]:
         "dup_paper_sample": _detector(duplicates.PAPER_NAME),
         "near_dup": _detector(duplicates.NEAR),
         "duplicate_flags": _duplicate_flags,
+        "name_classes": _name_classes,
+        "name_slips": _name_slips,
         # audit
         "all_flags": lambda spark, sf: _flag_view(flags(spark, sf)),
         "review_queue": _review_queue,
