@@ -209,8 +209,8 @@ def _header_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _header_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spellings = F.array_sort(header_functions.header_candidates(F.col("raw_header")))
-    return header_catalogue(spark, sf_dir).withColumn("candidates", F.array_join(spellings, "|"))
+    spelled = headers.with_spellings(header_catalogue(spark, sf_dir))
+    return spelled.withColumn("candidates", F.array_join("spellings", "|")).drop("spellings")
 
 
 def _header_map(spark: SparkSession, sf_dir: str) -> DataFrame:
