@@ -40,9 +40,18 @@ _FACTOR = r"(/?)\s*(°?\p{L}+%?|%)\s*\^?\(?([-+]?\d*)\)?\s*"
 
 def unit_of(c: Column) -> Column:
     """The unit of a cell: its folded text without amounts; empty where there is none."""
+    return degrees(bare_unit(c))
+
+
+def bare_unit(c: Column) -> Column:
+    """``unit_of`` before ``degrees``, for callers that store it in between."""
     bare = F.regexp_replace(unit_text(c), _AMOUNTS, " ")
-    bare = F.regexp_replace(F.regexp_replace(bare, r"(?U)^[\s~≈<>±+]+|[\s.,;]+$", ""), r"(?U)\s+", " ")
-    return F.when(bare == "c", F.lit("°c")).otherwise(bare)  # degrees, where it stands alone
+    return F.regexp_replace(F.regexp_replace(bare, r"(?U)^[\s~≈<>±+]+|[\s.,;]+$", ""), r"(?U)\s+", " ")
+
+
+def degrees(bare: Column) -> Column:
+    """``c`` means degrees where it stands alone."""
+    return F.when(bare == "c", F.lit("°c")).otherwise(bare)
 
 
 def _symbols() -> Column:

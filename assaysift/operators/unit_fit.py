@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dimensions import parsed_unit, unit_of
+from ..functions.dimensions import bare_unit, degrees, parsed_unit, unit_of
 from ..functions.text import column, text_or_blank
 from ..functions.units import NUMERIC_FIELDS
 from ..schema import P1, P2, ROW_KEY, SEQ_UNIT
@@ -26,14 +26,17 @@ def cell_units(df: DataFrame, keys: Sequence[str] = ROW_KEY, fields: Sequence[st
     """A row per text cell of a numeric field that has a unit: row (its key), paper_id, sample_id, field_pos, value, unit."""
     types = {f.name: f.dataType for f in df.schema.fields}
     texts = [(i, f) for i, f in enumerate(fields) if isinstance(types.get(f), T.StringType)]
-    cells = F.array(*[F.struct(F.lit(i).alias("field_pos"), column(f).alias("value")) for i, f in texts])
+    unit = lambda c: F.when(c.rlike(r"\p{Nd}"), bare_unit(c)).alias("unit")
+    cells = F.array(*[F.struct(F.lit(i).alias("field_pos"), column(f).alias("value"), unit(column(f))) for i, f in texts])
     if not texts:
-        cells = F.array(F.lit(None).cast("struct<field_pos:int,value:string>"))
+        cells = F.array(F.lit(None).cast("struct<field_pos:int,value:string,unit:string>"))
     ids = [(text_or_blank(column(c), types[c]) if c in types else F.lit("")).alias(c) for c in ("paper_id", "sample_id")]
     row = F.struct(*[column(k) for k in keys]).alias("row")  # so that no key has the name of a column here
-    long = df.select(row, *ids, F.inline(cells)).where(F.col("value").rlike(r"\p{Nd}"))
+    # Units are searched in a projection below an outer generator: no filter on them moves there to search them again.
+    listed = df.select(row, *ids, cells.alias("cells"))
+    long = listed.select("row", "paper_id", "sample_id", F.inline_outer("cells")).where("unit <> ''").withColumn("unit", degrees(F.col("unit")))
     angstrom = F.col("field_pos").isin(*[fields.index(f) for f in ANGSTROM_FIELDS if f in fields]) & (F.col("unit") == "a")
-    return long.withColumn("unit", unit_of(F.col("value"))).where("unit <> ''").withColumn("unit", F.when(angstrom, F.lit("å")).otherwise(F.col("unit")))
+    return long.withColumn("unit", F.when(angstrom, F.lit("å")).otherwise(F.col("unit")))
 
 
 def unit_table(cells: DataFrame, fields: Sequence[str] = NUMERIC_FIELDS, rules: RuleSet | None = None) -> DataFrame:
