@@ -120,7 +120,9 @@ def duplicate_keys(
     if not found:
         found = [F.lit(None).cast("struct<detector:int,key:string,key2:string,name:string>")]
     return (
-        base.select(*[column(k) for k in keys], "_paper", "_sample", F.explode(F.array_compact(F.array(*found))).alias("d"))
+        base.select(*[column(k) for k in keys], "_paper", "_sample", F.array(*found).alias("_found"))
+        .select(*[column(k) for k in keys], "_paper", "_sample", F.explode_outer("_found").alias("d"))
+        .where("d IS NOT NULL")
         .select(*[column(k) for k in keys], "_paper", "_sample", "d.*")
     )
 

@@ -66,7 +66,8 @@ def paper_values(df: DataFrame, keys: Sequence[str] = ROW_KEY, fields: Sequence[
     paper = norm_key(column("paper_id"), types["paper_id"]) if "paper_id" in types else F.lit("")
     shown, sample = (text_or_blank(column(c), types[c]) if c in types else F.lit("") for c in ("paper_id", "sample_id"))
     row = F.struct(*[column(k) for k in keys]).alias("row")  # so that no key has the name of a column here
-    long = df.select(row, paper.alias("paper_key"), shown.alias("paper_id"), sample.alias("sample_id"), F.inline(F.array(*cells)))
+    listed = df.select(row, paper.alias("paper_key"), shown.alias("paper_id"), sample.alias("sample_id"), F.array(*cells).alias("cells"))
+    long = listed.select("row", "paper_key", "paper_id", "sample_id", F.inline_outer("cells"))
     return long.where((F.col("paper_key") != "") & (F.abs("v") < float("inf")))
 
 

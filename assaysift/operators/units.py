@@ -98,9 +98,10 @@ def correction_log(normalised: DataFrame, keys: Sequence[str] = ROW_KEY) -> Data
     made = [entry(f) for f in traced] or [
         F.lit(None).cast("struct<field:string,original_value:string,cleaned_value:double,rule:string,field_pos:int>")
     ]
-    entries = normalised.select(
-        *[column(k) for k in keys], ids[0].alias("paper_id"), ids[1].alias("sample_id"), F.explode(F.array_compact(F.array(*made))).alias("t")
-    )
+    listed = normalised.select(*[column(k) for k in keys], ids[0].alias("_paper"), ids[1].alias("_sample"), F.array(*made).alias("_made"))
+    entries = listed.select(
+        *[column(k) for k in keys], F.col("_paper").alias("paper_id"), F.col("_sample").alias("sample_id"), F.explode_outer("_made").alias("t")
+    ).where("t IS NOT NULL")
     rule = F.col("t.rule")
     return entries.select(
         *[column(k) for k in keys],

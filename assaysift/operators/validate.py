@@ -91,9 +91,10 @@ def physics_flags(df: DataFrame, rules: RuleSet | None = None, keys: Sequence[st
     checks += [F.when(F.col(f"_m{seq}"), entry(seq, none, none)) for seq, _ in [*recommended, *engineering]]
     if not checks:
         checks = [F.lit(None).cast("struct<seq:int,limit:int,v:double>")]
-    found = base.select(
-        *[column(k) for k in keys], "_paper", "_sample", F.explode(F.array_compact(F.array(*checks))).alias("c")
-    )
+    # The array is made by a projection, in compiled code; inside the generator it would be interpreted.
+    # An outer generator, since from a plain one Spark infers a filter that makes the array a second time.
+    listed = base.select(*[column(k) for k in keys], "_paper", "_sample", F.array(*checks).alias("_checks"))
+    found = listed.select(*[column(k) for k in keys], "_paper", "_sample", F.explode_outer("_checks").alias("c")).where("c IS NOT NULL")
 
     seq, limit, value = F.col("c.seq"), F.col("c.limit"), F.col("c.v")
     is_range = limit.isNotNull()
@@ -159,7 +160,8 @@ def range_breaches_by_rule_table(
     ]
     if not values:
         values = [F.lit(None).cast("struct<field:string,value_num:double>")]
-    long = df.select(*[column(k) for k in keys], F.inline(F.array(*values))).where(F.col("value_num").isNotNull())
+    listed = df.select(*[column(k) for k in keys], F.array(*values).alias("_values"))
+    long = listed.select(*[column(k) for k in keys], F.inline_outer("_values")).where(F.col("value_num").isNotNull())
     joined = long.join(F.broadcast(rule_table(df.sparkSession, rules)), "field")
     code = (
         F.when(F.col("value_num") < F.col("hard_min"), F.lit(0))

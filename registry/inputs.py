@@ -142,7 +142,8 @@ def header_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         for i, h in enumerate(RAW)
     ]
     orders = table(spark, sf_dir, "orders")
-    return orders.select(F.col("o_orderkey").alias("table_id"), F.inline(F.array(*entries)))
+    # an array made by a projection is made by compiled code, one inside a generator is not
+    return orders.select(F.col("o_orderkey").alias("table_id"), F.array(*entries).alias("_row")).select("table_id", F.inline_outer("_row"))
 
 
 def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,4 +157,4 @@ def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for i, (h, (_, text)) in enumerate(RAW.items())
     ]
-    return base.select(*KEYS, F.inline(F.array(*entries)))
+    return base.select(*KEYS, F.array(*entries).alias("_row")).select(*KEYS, F.inline_outer("_row"))
