@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, BoundedCache, bucket, byte_slices, letter_runs, ngram_hashes, shared, slices, stored, table, worker_cache
+from .common import Batches, BoundedCache, bucket, byte_slices, give_back, letter_runs, ngram_hashes, parts_for, shared, slices, stored, table, worker_cache
 
 ROWS_PER_CLASS = 10_000  #: bound of the labelled sample: rows of each class that are read
 FOLDS, CALIBRATION_FOLD = 4, 0  #: of the learning rows, this fold fits the logistic function
@@ -46,6 +46,7 @@ _POWERS = (0.5, 0.75, 1.0)
 _LETTERS, _LETTER_BITS = 5, 12  #: letters in a run, and the bits of one, so that a run is one number
 # What is added to the number of letters or words seen after a context, so that a few say little.
 _LETTER_CAUTION, _PAIR_CAUTION = 20.0, 10.0
+_PAIR_SHARES, _PAIRS_AT_ONCE = 64, 500_000  #: shares that the pairs are cut into by history, and about how many pairs the driver works on at a time
 _WORDS_KEPT = 150_000  #: words of which a worker remembers what the model says
 
 
@@ -91,6 +92,8 @@ class Spelling:
         """[2, letters] odds of class against both, and [letters] shared probability."""
         shared, odds = np.full(len(run), 1.0 / 4_096), np.ones((2, len(run)))
         for k in range(len(self.runs) if lengths is None else lengths):
+            if not len(self.runs[k]):  # learned from no word
+                break
             code = run & ((1 << (_LETTER_BITS * (k + 1))) - 1)
             at, hit = _places(self.runs[k], code)
             where, known = _places(self.contexts[k], code >> _LETTER_BITS)
@@ -288,60 +291,98 @@ def fit(
     return _calibrated(model, _points(rows.where("calibrate").select("y_", "t_"), model), weight)
 
 
-def _discounted(n: np.ndarray) -> np.ndarray:
-    """Counts less the modified Kneser-Ney discounts of 1, 2 and 3 or more; a count above 0 keeps something."""
-    n1, n2, n3, n4 = np.maximum(np.bincount(np.minimum(n, 5), minlength=6)[1:5], 1).astype(float)
+def _discounted(n: np.ndarray, seen: np.ndarray | None = None) -> np.ndarray:
+    """Counts less the modified Kneser-Ney discounts of 1, 2 and 3 or more; a count above 0 keeps something.
+
+    ``seen``: how many counts are 1, 2, 3 and 4, where ``n`` is only a part of them.
+    """
+    if seen is None:
+        seen = np.bincount(np.minimum(n, 5), minlength=6)[1:5]
+    n1, n2, n3, n4 = np.maximum(seen, 1).astype(float)
     y = n1 / (n1 + 2 * n2)
     off = np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.05, 0.05, 0.05], [0, 0.95, 1.95, 2.95])
     return (n - off[np.minimum(n, 3)]).astype(np.float32)
 
 
 def _model(pairs: DataFrame, known: DataFrame) -> ToxicityModel:
-    """All pairs and runs of letters of the bounded sample, as numbers, come to the driver; words by the part."""
+    """Runs of letters and words of the bounded sample come to the driver as numbers; pairs by the part, those of a history together."""
     sums = [F.sum(c).cast("int").alias(c) for c in ("toxic", "ordinary")]
     letters = known.select("text", "toxic", "only").mapInArrow(_letter_runs_of, "run bigint, toxic bigint, ordinary bigint").groupBy("run").agg(*sums).toArrow()
     spelling = _spelling(*(x if i == 0 else list(x) for i, x in enumerate((letters.column("run").to_numpy(), (letters.column(c).to_numpy() for c in ("toxic", "ordinary"))))))
     del letters
-    held = pairs.toArrow()
-    history, word = (held.column(c).to_numpy().view(np.uint64) for c in ("history", "word"))
-    counts = [held.column(c).to_numpy() for c in ("toxic", "ordinary")]
-    del held
-    words, now = np.unique(word, return_inverse=True)
-    now = now.astype(np.int32) + 1
+    give_back()
+    # Sorted, so that reading one part skips the others.
+    share = F.pmod(F.xxhash64("history"), F.lit(_PAIR_SHARES)).cast("int")
+    pairs = stored(pairs.withColumn("share", share).sortWithinPartitions("share"), "toxicity-pairs")
+    words, unigram, weight = _words_of(pairs, known, spelling)
+
+    inside, of = pairs.where("history != 0"), (F.col("toxic"), F.col("ordinary"), F.col("toxic") + F.col("ordinary"))
+    total, *seen = inside.agg(F.count("*"), *[F.count_if(c == n) for c in of for n in (1, 2, 3, 4)]).first()
+    seen = np.array(seen).reshape(3, 4)
+    parts = min(_PAIR_SHARES, parts_for(total, _PAIRS_AT_ONCE))
+    v = len(words) + 1
+    codes, pair_mass, context, done = np.empty(total, np.uint64), np.empty((2, total), np.float32), np.ones((2, v)), 0
+    for part in range(parts):
+        first, end = (_PAIR_SHARES * i // parts for i in (part, part + 1))
+        held = inside.where((F.col("share") >= first) & (F.col("share") < end)).select("history", "word", "toxic", "ordinary").toArrow()
+        if not held.num_rows:
+            continue
+        at = slice(done, done + held.num_rows)
+        codes[at], pair_mass[:, at], here, left = _pair_part(held, words, weight, seen)
+        context[:, here] = left
+        done = at.stop
+        del held
+        give_back()
+    order = np.argsort(codes)
+    codes = codes[order]
+    for c in (0, 1):
+        pair_mass[c] = pair_mass[c][order]
+    return ToxicityModel(words, unigram, context, codes, pair_mass, spelling)
+
+
+def _words_of(pairs: DataFrame, known: DataFrame, spelling: Spelling) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted hashes of words; by class their probability, and that against both classes together."""
+    found = pairs.groupBy("word").agg(F.count("*").alias("n"), *[F.count_if(F.col(c) > 0).alias(c) for c in ("toxic", "ordinary")]).toArrow()
+    words = found.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    words = words[order]
+    histories, *of_class = (np.append(0, found.column(c).to_numpy()[order]) for c in ("n", "toxic", "ordinary"))
+    del found
     v = len(words) + 1
-    histories = np.bincount(now, minlength=v)
     shared = np.maximum(histories, 1) / (histories.sum() + 1)  # any other word: one history
     odds = np.ones((2, v), np.float32)
     spelled = _spelled(known, spelling)
     odds[:, _places(words, spelled[0])[0] + 1] = spelled[1]
     unigram, weight = np.empty((2, v)), np.empty((2, v))
-    for c, n in enumerate(counts):
-        distinct = np.bincount(now[n > 0], minlength=v)
+    for c, distinct in enumerate(of_class):
         direct = _discounted(distinct).astype(float) / max(1, distinct.sum())
         unigram[c] = direct + (1.0 - direct.sum()) * shared * odds[c] / (shared * odds[c]).sum()
         weight[c] = unigram[c] / shared
+    return words, unigram, weight
 
-    inside = history != 0
-    history, word, now, counts = history[inside], word[inside], now[inside], [n[inside] for n in counts]
-    before = (_places(words, history)[0] + 1).astype(np.int32)  # every history is some pair's word
+
+def _pair_part(held: pa.Table, words: np.ndarray, weight: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all pairs of some histories: sorted hashes, [2, pairs] masses, places of the histories, [2, histories] mass they leave to the words."""
+    history, word = (held.column(c).to_numpy().view(np.uint64) for c in ("history", "word"))
     codes = ngram_hashes(np.stack([history, word], axis=1).ravel(), 2)[::2]
     order = np.argsort(codes)
-    codes, before, now, counts = codes[order], before[order], now[order], [n[order] for n in counts]
-    del history, word, order
+    codes, counts = codes[order], [held.column(c).to_numpy()[order] for c in ("toxic", "ordinary")]
+    here, before = np.unique(history[order], return_inverse=True)  # every history is some pair's word
+    here, now = _places(words, here)[0] + 1, _places(words, word[order])[0] + 1
 
-    def interpolated(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        mass = _discounted(n) / (np.bincount(before, n, v) + _PAIR_CAUTION)[before].astype(np.float32)
-        return mass, np.clip(1.0 - np.bincount(before, mass, v), 1e-9, 1.0)
+    def interpolated(n: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        mass = _discounted(n, seen) / (np.bincount(before, n, len(here)) + _PAIR_CAUTION)[before].astype(np.float32)
+        return mass, np.clip(1.0 - np.bincount(before, mass, len(here)), 1e-9, 1.0)
 
-    both, left_both = interpolated(counts[0] + counts[1])
-    context, pair_mass = np.ones((2, v)), np.zeros((2, len(codes)), np.float32)
+    both, left_both = interpolated(counts[0] + counts[1], seen[2])
+    context, pair_mass = np.empty((2, len(here))), np.empty((2, len(codes)), np.float32)
     for c, n in enumerate(counts):
-        mass, left = interpolated(n)
+        mass, left = interpolated(n, seen[c])
         weighed = both * weight[c][now].astype(np.float32)
-        left /= np.bincount(before, weighed, v) + left_both  # so that all words after a history add up to one
+        left /= np.bincount(before, weighed, len(here)) + left_both  # so that all words after a history add up to one
         pair_mass[c] = mass + left[before].astype(np.float32) * weighed
         context[c] = left * left_both
-    return ToxicityModel(words, unigram, context, codes, pair_mass, spelling)
+    return codes, pair_mass, here, context
 
 
 def _spelled(known: DataFrame, spelling: Spelling) -> tuple[np.ndarray, np.ndarray]:

@@ -65,6 +65,21 @@ def test_without_labels_all_score_alike(spark):
     assert len({r.score for r in toxicity.score(df, toxicity.fit(df, labels)).collect()}) == 1
 
 
+def test_pairs_reach_the_driver_by_the_part(spark, toxic_model, monkeypatch):
+    rng = random.Random(3)
+    words = [f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    rows = [(i, " ".join([rng.choice(words) for _ in range(9)] + ["vile"] * (i % 4 == 0))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int")
+    whole, sizes, part = toxicity.fit(docs, labels), [], toxicity._pair_part
+    monkeypatch.setattr(toxicity, "_PAIRS_AT_ONCE", 10)
+    monkeypatch.setattr(toxicity, "_pair_part", lambda held, *rest: sizes.append(held.num_rows) or part(held, *rest))
+    parts = toxicity.fit(docs, labels)
+    assert len(sizes) > 3 and sum(sizes) == len(parts.pairs) and max(sizes) < len(parts.pairs) / 2
+    for name in ("words", "unigram", "context", "pairs", "pair_mass"):
+        assert np.array_equal(getattr(whole, name), getattr(parts, name))
+
+
 def test_held_out_toxicity(spark):
     truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     got = toxicity.op1_toxicity(spark, SF).collect()
