@@ -71,21 +71,26 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 
 class BoundedCache(dict):
-    """A dict that computes what it lacks and starts afresh at ``limit`` entries or, of byte values, ``size`` bytes.
+    """A dict that computes what it lacks and holds at most ``limit`` entries or, of byte values, about ``size`` bytes.
 
+    Entries are kept in two generations: when the young one is half of that, it becomes the old one, and what
+    was old and not asked for again goes. So frequent keys stay, however many rare ones pass through.
     Byte values over a hundredth of ``size`` are not kept.
     """
 
     def __init__(self, make: Callable, limit: int = 300_000, size: int = 64_000_000):
         super().__init__()
-        self.make, self.limit, self.size, self.held = make, limit, size, 0
+        self.make, self.limit, self.size, self.held, self.old = make, limit, size, 0, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.old.get(key, self)
+        if value is self:
+            value = self.make(key)
         more = len(value) + 150 if isinstance(value, bytes) else 0
         if more * 100 > self.size:
             return value
-        if len(self) >= self.limit or self.held + more > self.size:
+        if len(self) * 2 >= self.limit or (self.held + more) * 2 > self.size:
+            self.old = self.copy()
             self.clear()
             self.held = 0
         self.held += more

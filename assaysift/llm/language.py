@@ -27,7 +27,7 @@ _FIELD = 40  #: bits per language in a summed count
 
 
 def suffix_automaton(text: str) -> dict[int, int]:
-    """Transitions (state * 0x110000 + code point -> state) of the automaton of all substrings; 0 is the start."""
+    """Transitions (state + code point -> state) of the automaton of all substrings; states are multiples of 0x110000, 0 is the start."""
     following: list[dict[str, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in text:
@@ -53,14 +53,14 @@ def suffix_automaton(text: str) -> dict[int, int]:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
-    return {state * _POINTS + ord(c): to for state, edges in enumerate(following) for c, to in edges.items()}
+    return {state * _POINTS + ord(c): to * _POINTS for state, edges in enumerate(following) for c, to in edges.items()}
 
 
-def phrases(text: str, automaton: dict[int, int]) -> int:
-    """Longest-match phrases that ``text`` falls into; an unknown letter is a phrase of its own."""
+def phrases(text: str | list[int], automaton: dict[int, int]) -> int:
+    """Longest-match phrases that ``text``, or its code points, falls into; an unknown letter is a phrase of its own."""
     step, state, count = automaton.get, 0, 0
-    for c in map(ord, text):
-        to = step(state * _POINTS + c)
+    for c in map(ord, text) if isinstance(text, str) else text:
+        to = step(state + c)
         if to is None:
             count += state > 0
             to = step(c)
@@ -81,7 +81,7 @@ class LanguageModel:
 
     def word(self, word: str) -> int:
         """Phrases of one word by language, side by side in one number so that words add up in one pass."""
-        padded, packed = f" {word} ", 0
+        padded, packed = list(map(ord, f" {word} ")), 0
         for i, automaton in enumerate(self.automata):
             packed |= phrases(padded, automaton) << (_FIELD * i)
         return packed
@@ -125,7 +125,7 @@ def fit(documents: DataFrame, *, key: str = "doc_id", text: str = "text", lang:
 
 def _cache(sent) -> BoundedCache:
     """Phrases by word, for one broadcast model."""
-    return worker_cache(("language", id(sent.value)), lambda: BoundedCache(sent.value.word, 150_000))
+    return worker_cache(("language", id(sent.value)), lambda: BoundedCache(sent.value.word))
 
 
 def identify(documents: DataFrame, model: LanguageModel, *, key: str = "doc_id", text: str = "text") -> DataFrame:

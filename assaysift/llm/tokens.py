@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 from itertools import accumulate, pairwise
 
@@ -48,6 +49,10 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class ChunkEncoder:
     """Ids of a chunk free of ASCII white space, equal to the library's for every chunk."""
 
@@ -60,16 +65,18 @@ class ChunkEncoder:
         self.letters = _byte_letters()
         self.runs = BoundedCache(self._run)
 
-    def _run(self, text: str) -> list[int]:
+    def _run(self, text: str) -> bytes:
         """One pre-token: lower-cased letters, or marks."""
-        spelled = text.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.library.model.tokenize(spelled)]
+        own = text.isascii() and text.isprintable() and " " not in text  # stands for itself
+        spelled = text if own else text.encode().decode("latin-1").translate(self.letters)
+        return _packed([t.id for t in self.library.model.tokenize(spelled)])
 
-    def ids(self, chunk: bytes) -> list[int]:
+    def ids(self, chunk: bytes) -> bytes:
+        """Little-endian unsigned 32-bit numbers."""
         text = chunk.decode()
         plain = _PLAIN.fullmatch(text)
         if plain is None:
-            return self.library.encode(text, add_special_tokens=False).ids
+            return _packed(self.library.encode(text, add_special_tokens=False).ids)
         word, marks = plain.groups()
         return self.runs[word.lower()] + self.runs[marks] if marks else self.runs[word.lower()]
 
@@ -151,7 +158,7 @@ class PrefixCounter:
         """Counts at the end of every character of a piece that begins where a pre-token does."""
         text = piece.decode()
         counts = self._by_runs(text)
-        if counts is None or counts[-1] != len(self.encoder.ids(piece)):
+        if counts is None or counts[-1] * 4 != len(self.encoder.ids(piece)):
             encode = self.encoder.library.encode
             counts = np.array([len(encode(text[:i], add_special_tokens=False).ids) for i in range(1, len(text) + 1)])
         return counts.astype("<u4").tobytes()
@@ -161,15 +168,15 @@ class PrefixCounter:
         text, runs = chunk.decode(), self.encoder.runs
         if plain := _PLAIN.fullmatch(text):
             word, marks = plain.groups()
-            n, end = len(runs[word.lower()]), len(word.encode())
-            return np.array([end, n, len(chunk), n + len(runs[marks])] if marks else [end, n], "<u4").tobytes()
-        pairs, total = [], len(self.encoder.ids(chunk))
+            n, end = len(runs[word.lower()]) // 4, len(word.encode())
+            return np.array([end, n, len(chunk), n + len(runs[marks]) // 4] if marks else [end, n], "<u4").tobytes()
+        pairs, total = [], len(self.encoder.ids(chunk)) // 4
         if "<|" not in text and unicodedata.is_normalized("NFC", text):
             lowered = [c.lower() for c in text]
             at = dict(zip(accumulate(map(len, lowered)), accumulate(len(c.encode()) for c in text), strict=True))
             done = 0
             for match in _RUNS.finditer("".join(lowered)):
-                done += len(runs[match.group()])
+                done += len(runs[match.group()]) // 4
                 if match.end() in at:  # not inside a character that has become two
                     pairs += [at[match.end()], done]
             if done != total:
@@ -184,8 +191,7 @@ def _worker(path: str) -> tuple[ChunkEncoder, PrefixCounter, BoundedCache]:
 
     def make():
         encoder = ChunkEncoder(path)
-        ids = BoundedCache(lambda chunk: np.array(encoder.ids(chunk), "<u4").tobytes())
-        return encoder, PrefixCounter(path, encoder), ids
+        return encoder, PrefixCounter(path, encoder), BoundedCache(encoder.ids)
 
     return worker_cache(("tokens", path), make)
 
