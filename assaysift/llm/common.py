@@ -6,6 +6,8 @@ import contextlib
 import ctypes
 import gc
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -70,6 +72,14 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
+_NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
+
+
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    return array("I", ids).tobytes() if _NATIVE else np.array(ids, "<u4").tobytes()
+
+
 class BoundedCache(dict):
     """A dict that computes what it lacks and holds at most ``limit`` entries or, of byte values, about ``size`` bytes.
 

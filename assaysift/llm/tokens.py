@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import json
 import re
-import struct
 import unicodedata
 from itertools import accumulate, pairwise
 
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import Batches, BoundedCache, byte_slices, slices, table, worker_cache
+from .common import Batches, BoundedCache, byte_slices, packed, slices, table, worker_cache
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
@@ -38,6 +37,7 @@ _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)")
 _RUNS = regex.compile(_PATTERN)
 _WORD_END = "</w>"
+_CHUNKS_KEPT, _CHUNK_BYTES = 800_000, 160_000_000  #: bounds of the ids a worker remembers; rare words make up most of the work
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
 
@@ -49,10 +49,6 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
-
-
 class ChunkEncoder:
     """Ids of a chunk free of ASCII white space, equal to the library's for every chunk."""
 
@@ -63,20 +59,21 @@ class ChunkEncoder:
             raise ValueError(f"{path} does not drop white space between tokens")
         self.library = Tokenizer.from_file(path)
         self.letters = _byte_letters()
+        self.tokenize = self.library.model.tokenize  # the model is a new object at each access
         self.runs = BoundedCache(self._run)
 
     def _run(self, text: str) -> bytes:
         """One pre-token: lower-cased letters, or marks."""
         own = text.isascii() and text.isprintable() and " " not in text  # stands for itself
         spelled = text if own else text.encode().decode("latin-1").translate(self.letters)
-        return _packed([t.id for t in self.library.model.tokenize(spelled)])
+        return packed([t.id for t in self.tokenize(spelled)])
 
     def ids(self, chunk: bytes) -> bytes:
         """Little-endian unsigned 32-bit numbers."""
         text = chunk.decode()
         plain = _PLAIN.fullmatch(text)
         if plain is None:
-            return _packed(self.library.encode(text, add_special_tokens=False).ids)
+            return packed(self.library.encode(text, add_special_tokens=False).ids)
         word, marks = plain.groups()
         return self.runs[word.lower()] + self.runs[marks] if marks else self.runs[word.lower()]
 
@@ -191,7 +188,7 @@ def _worker(path: str) -> tuple[ChunkEncoder, PrefixCounter, BoundedCache]:
 
     def make():
         encoder = ChunkEncoder(path)
-        return encoder, PrefixCounter(path, encoder), BoundedCache(encoder.ids)
+        return encoder, PrefixCounter(path, encoder), BoundedCache(encoder.ids, _CHUNKS_KEPT, _CHUNK_BYTES)
 
     return worker_cache(("tokens", path), make)
 
