@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, BoundedCache, byte_slices, stored, table, worker_cache
+from .common import Batches, BoundedCache, byte_slices, packed, stored, table, worker_cache
 
 BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 HOT_PAIRS = 500_000  #: a pair of more than 1 / HOT_PAIRS of all links is broadcast, so no more than these are
@@ -72,15 +72,18 @@ class ByteSide:
             self.bytes[number] = entry.encode() if entry in plain else bytes(byte[letter] for letter in entry)
 
         self.letters = {b: letter for letter, b in byte.items()}
+        self.blank = self.letters[32]
+        self.tokenize = self.library.model.tokenize  # the model is a new object at each access
         self.words = BoundedCache(self._word, MEMO_WORDS)
 
     def _word(self, word: str) -> bytes:
         """Ids of one word as the pre-tokenizer cuts them, checked against its bytes."""
-        data = word.encode()
-        ids = [t.id for t in self.library.model.tokenize(data.decode("latin-1").translate(self.letters))]
+        data, rest = word.encode(), word[1:]
+        plain = word[0] == " " and rest.isascii() and rest.isalpha()  # stands for itself but for the space
+        ids = [t.id for t in self.tokenize(self.blank + rest if plain else data.decode("latin-1").translate(self.letters))]
         if b"".join(map(self.bytes.__getitem__, ids)) != data:
             raise ValueError(f"the vocabulary does not spell {word!r}")
-        return np.array(ids, "<u4").tobytes()
+        return packed(ids)
 
     def encode(self, text: str) -> np.ndarray | None:
         """Ids of a space and the text; None where they don't give its bytes back.
@@ -229,14 +232,15 @@ class Aligner:
         memo, known = self.memo, self.memo.known
         left, right = a.tobytes(), b.tobytes()
         a_at, b_at = (4 * a_cuts).tolist(), (4 * b_cuts).tolist()
-        windows, fresh = [], []
-        for n, (i, j, k, m) in enumerate(zip(a_at, a_at[1:], b_at, b_at[1:])):
-            key = left[i:j] + _BETWEEN + right[k:m]
-            number = known.get(key)
+        keys = [left[i:j] + _BETWEEN + right[k:m] for i, j, k, m in zip(a_at, a_at[1:], b_at, b_at[1:])]
+        windows, fresh = [*map(known.get, keys)], []
+        for n in [n for n, number in enumerate(windows) if number is None]:
+            number = known.get(keys[n])  # met earlier in these texts
             if number is None:
-                number = known[key] = len(known)
+                number = known[keys[n]] = len(known)
                 fresh.append(n)
-            windows.append(number)
+            windows[n] = number
+        del keys
         if fresh:
             sizes = [np.diff(cuts)[fresh] for cuts in (a_cuts, b_cuts)]
             x, y = (ids[_spread(cuts[fresh], size)] for ids, cuts, size in ((a, a_cuts, sizes[0]), (b, b_cuts, sizes[1])))

@@ -93,3 +93,10 @@ def test_words_are_tokenised_like_whole_texts():
         text = "".join(rng.choice(pieces, int(rng.integers(1, 12))))
         assert side.encode(text).tolist() == side.library.encode(" " + text, add_special_tokens=False).ids, text
     assert len(side.words)
+
+
+def test_single_words_have_the_ids_of_the_library():
+    side = alignment.ByteSide(alignment._path(alignment.BYTE_TOKENIZER))
+    for word in (" plain", "plain", " Été", " ", "  ", "'s", " 42", " ...", "\n", " naïve", "--", " x", " thndatin"):
+        ids = side.library.encode(word, add_special_tokens=False).ids
+        assert np.frombuffer(side._word(word), "<u4").tolist() == ids
