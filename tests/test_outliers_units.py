@@ -116,3 +116,18 @@ def test_unit_flags(spark):
     }
     assert unit_fit.unit_flags(frame.select("row_index")).collect() == []
     assert unit_fit.unit_flags(frame.limit(0)).collect() == []
+
+
+def test_a_median_is_counted_by_steps_and_sketched_only_in_full_ones(spark, monkeypatch):
+    sketches, sketch = [], F.percentile_approx
+    monkeypatch.setattr(outliers.F, "percentile_approx", lambda *a: sketches.append(a) or sketch(*a))
+    rng = random.Random(8)
+    groups_ = {"even": [-1e300, -2.5, 0.0, -0.0, 5e-324, 7.0], "odd": [rng.uniform(-3, 3) for _ in range(501)], "close": [100 + rng.random() / 10 for _ in range(400)]}
+    groups_["huge"] = [1.7e308, 1.0, -1.7e308]
+    values = spark.createDataFrame([(g, x) for g, own in groups_.items() for x in own], "g string, x double").repartition(4)
+    expected = {g: (len(own), median(own)) for g, own in groups_.items()}
+    assert {r.g: (r.n, r.median) for r in outliers.exact_medians(values, ("g",), "x").collect()} == expected
+    assert not sketches
+    monkeypatch.setattr(outliers, "BRACKET_ROWS", 50)
+    assert {r.g: (r.n, r.median) for r in outliers.exact_medians(values, ("g",), "x").collect()} == expected
+    assert len(sketches) == 1
