@@ -15,6 +15,8 @@ travels only with a row of which it is asked for.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,10 +120,10 @@ def duplicate_keys(
         paper, name = F.col("_t_paper_id"), F.col("_t_sample_name")
         found.append(F.when((paper != "") & (name != ""), entry(PAPER_NAME, paper, name, F.col("_name"))))
     if near:
-        parts = F.array_compact(F.array(*[F.concat(F.lit(f"{c}="), normal(c)) for c in compared]))
-        base = base.withColumn("_parts", parts)
-        marker = F.array_join("_parts", "||")
-        found.append(F.when(F.size("_parts") >= NEAR_MINIMUM, entry(NEAR, marker, nothing, nothing)))
+        # Joined without an array of them: an array function would interpret all of its parts.
+        filled = reduce(add, [normal(c).isNotNull().cast("int") for c in compared])
+        marker = F.concat_ws("||", *[F.concat(F.lit(f"{c}="), normal(c)) for c in compared])
+        found.append(F.when(filled >= NEAR_MINIMUM, entry(NEAR, marker, nothing, nothing)))
     if not found:
         found = [F.lit(None).cast("struct<detector:int,key:string,key2:string,name:string>")]
     return (

@@ -41,3 +41,10 @@ def test_report_and_manifest_parse_the_cells_once(spark, monkeypatch):
     for name in ("report_rows", "run_manifest"):
         made.clear()
         assert queries.queries()[name](spark, "/root/testdata/sf0.001").count() >= 1 and made == [1]
+
+
+def test_near_keys_are_joined_from_filled_parts_without_an_array(spark):
+    rows = [(1, " P1", 1.0, 0.35, None, 90.5), (2, "p1", 1.0, None, float("nan"), 90.5), (3, None, 2.0, 0.25, 1e-5, -0.0), (4, "-", None, None, None, 1.0)]
+    keyed = duplicates.duplicate_keys(spark.createDataFrame(rows, "i int, paper_id string, BET_m2_g double, d002_nm double, ID_IG double, ICE_pct double"), ("i",), (duplicates.NEAR,))
+    assert {r.i: r.key for r in keyed.collect()} == {1: "paper_id=p1||BET_m2_g=1||d002_nm=0.35||ICE_pct=90.5", 3: "BET_m2_g=2||d002_nm=0.25||ID_IG=1e-05||ICE_pct=-0"}
+    assert "array_join" not in keyed._jdf.queryExecution().optimizedPlan().toString()
