@@ -22,7 +22,7 @@ from .groups import BROADCAST_GROUPS, with_group_values
 from .validate import flag_columns, number_or_null
 
 ACCURACY = 10_000  #: of the sketch; a bracket holds about 6 / ACCURACY of its group's rows, or a few values
-STEPS = 1_024  #: to a doubling of the value, so that values of three digits mostly have a step each
+STEPS = 128  #: to a doubling of the value; more would leave little to combine where values hardly repeat
 BRACKET_ROWS = 1_000_000  #: a step with more rows of a group is left to the sketch, so fewer groups than a millionth of the values need one
 MINIMUM = 5  #: fewer values of a paper and field say nothing about any of them
 LIMIT = 3.5  #: deviations beyond which a value is unlike the others
