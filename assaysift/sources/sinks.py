@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import column
+from .scratch import CODEC
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
@@ -14,7 +15,7 @@ _NESTED = (T.ArrayType, T.MapType, T.StructType)
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Parquet by default; CSV keeps its header when there are no rows and leaves nulls empty."""
     if fmt == "parquet":
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", CODEC).parquet(path)
     elif fmt == "csv":
         (
             df.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "")
