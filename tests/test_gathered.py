@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assaysift.functions.headers import header_candidates
-from assaysift.operators import headers
+from assaysift.operators import groups, headers
 from assaysift.operators.groups import gathered
 
 
@@ -60,3 +60,39 @@ def test_checks_are_listed_by_a_projection(spark):
     found = validate.physics_flags(df, keys=("row_index",))
     assert not any("CASE" in line for line in _plan(found) if "Generate " in line)
     assert found.count() > 0
+
+
+def _wide_case(spark, rows):
+    df = spark.createDataFrame(rows, "k int, name string, position int, v string")
+    want = df.groupBy("k", "name").agg(F.array_sort(F.collect_list(F.struct("position", "v"))).alias("h")).collect()
+    return df, sorted(map(str, want))
+
+
+@pytest.mark.parametrize("batch", ["2", "10000"])
+@pytest.mark.parametrize("limit", [0, 1000])
+@pytest.mark.parametrize("spread", [1, 3])
+def test_whole_groups_are_made_where_they_stand(spark, batch, limit, spread):
+    rows = [(k, None if k % 4 else "a", i, f"v{i}" if i else None) for k in range(30) for i in range(3)]
+    rows += [(k, None, 7, "more") for k in (1, 2)] + [(5, None, i, "again") for i in range(3)] + [(None, None, 0, "x"), (40, "b", 1, None)]
+    df, want = _wide_case(spark, rows)
+    df = df.repartition(3, "position") if spread > 1 else df.coalesce(1)
+
+    def make(lists, *kept):
+        return lists.select("k", "name", F.array_sort("h").alias("h"), *kept)
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = groups.made_of_gathered(df, df.select("k", "name"), ("k", "name"), "h", make, limit).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(map(str, got)) == want
+
+
+def test_cells_of_whole_rows_are_not_shuffled(spark):
+    cells = spark.range(0, 400, 1, 2).selectExpr("id div 4 as table_id", "cast(id % 4 as int) as position", "concat('h', id % 4) as raw_header", "cast(id as string) as raw_value")
+    wide = headers.cells_to_wide(cells, row_key=("table_id",))
+    assert wide.count() == 100
+    path = next(p for p in wide.inputFiles() if "/made-" in p).rsplit("/", 1)[0]
+    stored = spark.read.parquet(path)
+    assert stored.where("_whole").count() == 100 and stored.where("NOT _whole").count() == 0
